@@ -1,0 +1 @@
+"""Empty on purpose: every view and job is a bounded batch read, so there is no streaming operator to offer."""
