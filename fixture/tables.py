@@ -10,6 +10,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallybook.sources import schemas
 from tallybook.sources.tables import literal
@@ -55,68 +56,106 @@ PAYERS = {f"PAY-{i}": f"Payer {i}" for i in (0, 1, 2, 3, 7)}
 SYMBOLS = {"EUR": "€", "USD": "$", "GBP": "£"}
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One driver table; its schema is read from the file once per session and folder."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _text(prefix: str, value: Column, suffix: str = "") -> Column:
     return F.concat(F.lit(prefix), value.cast("string"), F.lit(suffix))
 
 
-def _pick(index: Column, values: list) -> Column:
-    """values[index] for an index known to be in range."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns that depend on the order and its customer only, built once per order."""
-    buyer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    order = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    k, c, nation4 = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey") % 4
-    return order.join(buyer, c == F.col("c_custkey")).select(
-        "o_orderkey",
-        "o_custkey",
-        "o_orderpriority",
-        F.when(c % 29 == 0, _text("acct", c % 8)).otherwise(_text("AC-", c % 8, "-X")).alias("billing_account_id"),
-        F.when(c % 8 != 6, _text("PAY-", c % 8)).alias("payer_billing_account_id"),
-        _text("proj-", c % 7).alias("order_project"),
-        _pick(nation4, CURRENCIES).alias("currency"),
-        _pick(nation4, RATES).alias("currency_conversion_rate"),
-        F.when(k % 6 == 3, "THIRD_PARTY_RESELLER")
-        .when(k % 6 == 4, "THIRD_PARTY_AGENCY")
-        .when(k % 6 != 5, "GOOGLE")
-        .alias("transaction_type"),
-    )
-
-
-def _credits(k: Column, n: Column) -> Column:
-    price, discount, tax = F.col("price"), F.col("discount"), F.col("tax")
+def _quoted(values: list) -> str:
+    """A SQL array of these strings or numbers."""
+    items = ("NULL" if v is None else f"'{v}'" if isinstance(v, str) else f"{v}D" for v in values)
+    return f"array({', '.join(items)})"
 
-    def credit(kind: Column, amount: Column) -> Column:
-        return F.struct(kind.cast("string").alias("type"), amount.cast(MONEY).alias("amount"))
-
-    both = F.array(
-        credit(F.lit("RESELLER_MARGIN"), -price * discount),
-        credit(_pick(k % 4, SECOND_CREDIT_TYPES), -price * tax),
-    )
-    empty = F.array().cast(f"array<struct<type:string,amount:{MONEY}>>")
-    return F.when(n != 6, F.when(discount == 0, empty).otherwise(both))
 
+def _pick(index: str, values: list) -> str:
+    """values[index] for an index known to be in range."""
+    return f"{_quoted(values)}[CAST({index} AS INT)]"
+
+
+ORDER_COLUMNS = [
+    "o_orderkey",
+    "o_custkey",
+    "o_orderpriority",
+    "CASE WHEN o_custkey % 29 = 0 THEN concat('acct', o_custkey % 8)"
+    " ELSE concat('AC-', o_custkey % 8, '-X') END AS billing_account_id",
+    "CASE WHEN o_custkey % 8 != 6 THEN concat('PAY-', o_custkey % 8) END AS payer_billing_account_id",
+    "concat('proj-', o_custkey % 7) AS order_project",
+    _pick("c_nationkey % 4", CURRENCIES) + " AS currency",
+    _pick("c_nationkey % 4", RATES) + " AS currency_conversion_rate",
+    "CASE o_orderkey % 6 WHEN 3 THEN 'THIRD_PARTY_RESELLER' WHEN 4 THEN 'THIRD_PARTY_AGENCY' WHEN 5 THEN NULL"
+    " ELSE 'GOOGLE' END AS transaction_type",
+]
 
-def _labels(k: Column, n: Column, c: Column) -> Column:
-    def label(key: str, value: Column) -> Column:
-        return F.struct(F.lit(key).alias("key"), value.alias("value"))
+LINE_COLUMNS = [
+    "l_orderkey",
+    "l_linenumber",
+    "l_partkey",
+    "l_suppkey",
+    "l_quantity",
+    "l_returnflag",
+    "CAST(l_extendedprice AS DECIMAL(12,2)) AS price",
+    "CAST(l_discount AS DECIMAL(4,2)) AS discount",
+    "CAST(l_tax AS DECIMAL(4,2)) AS tax",
+    "CAST(l_shipdate AS TIMESTAMP) AS ship",
+]
 
-    filled = F.array(
-        label("workspace.googleapis.com/usage_type", _pick((k + n) % 6, USAGE_TYPES)),
-        label("domain_name", F.when(c % 8 != 5, _text("d", c % 8, ".test"))),
-        label("workspace.googleapis.com/order_id", _text("ORD-", c % 8)),
-        label("x/purchase_order_id", _text("PO-", k % 50)),
-        label("subscription_id", _text("SUB-", c % 50)),
-        label("bad/", F.lit("z")),
-    )
-    empty = F.array().cast("array<struct<key:string,value:string>>")
-    return F.when(k % 11 == 0, None).when(k % 11 == 1, empty).otherwise(filled)
+_CREDITS = f"array<struct<type:string,amount:{MONEY}>>"
+_LABELS = "array<struct<key:string,value:string>>"
+
+
+def _label(key: str, value: str) -> str:
+    return f"named_struct('key', '{key}', 'value', {value})"
+
+
+EXPORT_COLUMNS = [
+    "billing_account_id",
+    "payer_billing_account_id",
+    "named_struct('month', date_format(ship, 'yyyyMM')) AS invoice",
+    f"""named_struct('id', concat('SVC-', l_partkey % 20), 'description',
+        CASE WHEN o_custkey % 8 = 7 AND month(ship) = 2 THEN 'Reseller Program'
+             ELSE {_pick("l_partkey % 20", SERVICE_NAMES)} END) AS service""",
+    """named_struct('id', concat('SKU-', l_partkey % 40), 'description',
+        CASE WHEN l_partkey % 40 IN (0, 23, 31) THEN 'GCP Partner-led Enhanced Support Variable Fee'
+             WHEN l_partkey % 40 != 1 THEN concat('sku ', l_partkey % 40) END) AS sku""",
+    "named_struct('id', CASE WHEN l_linenumber != 3 THEN order_project END) AS project",
+    f"CAST(CASE WHEN l_quantity = 1 THEN 0 WHEN l_returnflag = 'R' THEN -price ELSE price END AS {MONEY}) AS cost",
+    f"CAST(CASE WHEN l_linenumber != 7 THEN price * (1 + tax) END AS {MONEY}) AS customer_cost",
+    f"""CASE WHEN l_linenumber = 6 THEN NULL WHEN discount = 0 THEN CAST(array() AS {_CREDITS}) ELSE array(
+        named_struct('type', 'RESELLER_MARGIN', 'amount', CAST(-price * discount AS {MONEY})),
+        named_struct('type', {_pick("l_orderkey % 4", SECOND_CREDIT_TYPES)},
+                     'amount', CAST(-price * tax AS {MONEY}))) END AS credits""",
+    "currency",
+    "currency_conversion_rate",
+    """named_struct('amount', CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END, 'unit', 'seat')
+        AS usage""",
+    "ship AS usage_start_time",
+    "ship + INTERVAL 1 DAY AS usage_end_time",
+    "timestamp_seconds(unix_timestamp(ship) + (l_orderkey % 24) * 3600) AS export_time",
+    f"""CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 11 = 1 THEN CAST(array() AS {_LABELS}) ELSE array(
+        {_label("workspace.googleapis.com/usage_type", _pick("(l_orderkey + l_linenumber) % 6", USAGE_TYPES))},
+        {_label("domain_name", "CASE WHEN o_custkey % 8 != 5 THEN concat('d', o_custkey % 8, '.test') END")},
+        {_label("workspace.googleapis.com/order_id", "concat('ORD-', o_custkey % 8)")},
+        {_label("x/purchase_order_id", "concat('PO-', l_orderkey % 50)")},
+        {_label("subscription_id", "concat('SUB-', o_custkey % 50)")},
+        {_label("bad/", "'z'")}) END AS system_labels""",
+    "transaction_type",
+    "seller_name",
+    """CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'adjustment' WHEN l_linenumber = 2 THEN 'tax'
+        ELSE 'regular' END AS cost_type""",
+    """CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN named_struct('adjustment_description',
+        concat('adj ', o_orderpriority), 'adjustment_type', 'GENERAL') END AS adjustment_info""",
+    "to_date(ship) AS export_date",
+]
 
 
 def export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,70 +165,20 @@ def export(spark: SparkSession, sf_dir: str) -> DataFrame:
     narrow raw columns cross it and the nested ones are built after it. The join with ``part`` named in
     FIXTURES.md is left out: it adds no column and every line has exactly one part.
     """
-    line = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
-        "l_quantity",
-        "l_returnflag",
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
-        F.col("l_discount").cast("decimal(4,2)").alias("discount"),
-        F.col("l_tax").cast("decimal(4,2)").alias("tax"),
-        F.col("l_shipdate").cast("timestamp").alias("ship"),
-    )
-    seller = table(spark, sf_dir, "supplier").select(
-        "s_suppkey", F.when(F.col("s_suppkey") % 2 != 0, F.col("s_name")).alias("seller_name")
+    orders = (
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .selectExpr(*ORDER_COLUMNS)
     )
-    rows = line.join(_orders(spark, sf_dir).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(
-        seller, F.col("l_suppkey") == F.col("s_suppkey")
+    seller = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey", "CASE WHEN s_suppkey % 2 != 0 THEN s_name END AS seller_name"
     )
-
-    k, n, p, c = (F.col(x) for x in ("l_orderkey", "l_linenumber", "l_partkey", "o_custkey"))
-    price, ship = F.col("price"), F.col("ship")
-    returned = F.col("l_returnflag") == "R"
-    adjustment = returned & (n == 1)
-    return rows.select(
-        "billing_account_id",
-        "payer_billing_account_id",
-        F.struct(F.date_format(ship, "yyyyMM").alias("month")).alias("invoice"),
-        F.struct(
-            _text("SVC-", p % 20).alias("id"),
-            F.when((c % 8 == 7) & (F.month(ship) == 2), "Reseller Program")
-            .otherwise(_pick(p % 20, SERVICE_NAMES))
-            .alias("description"),
-        ).alias("service"),
-        F.struct(
-            _text("SKU-", p % 40).alias("id"),
-            F.when((p % 40).isin(0, 23, 31), "GCP Partner-led Enhanced Support Variable Fee")
-            .when(p % 40 != 1, _text("sku ", p % 40))
-            .alias("description"),
-        ).alias("sku"),
-        F.struct(F.when(n != 3, F.col("order_project")).alias("id")).alias("project"),
-        F.when(F.col("l_quantity") == 1, 0).when(returned, -price).otherwise(price).cast(MONEY).alias("cost"),
-        F.when(n != 7, price * (1 + F.col("tax"))).cast(MONEY).alias("customer_cost"),
-        _credits(k, n).alias("credits"),
-        "currency",
-        "currency_conversion_rate",
-        F.struct(
-            F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity")).alias("amount"),
-            F.lit("seat").alias("unit"),
-        ).alias("usage"),
-        ship.alias("usage_start_time"),
-        (ship + F.expr("interval 1 day")).alias("usage_end_time"),
-        F.timestamp_seconds(F.unix_timestamp(ship) + (k % 24) * 3600).alias("export_time"),
-        _labels(k, n, c).alias("system_labels"),
-        "transaction_type",
-        "seller_name",
-        F.when(adjustment, "adjustment").when(n == 2, "tax").otherwise("regular").alias("cost_type"),
-        F.when(
-            adjustment,
-            F.struct(
-                F.concat(F.lit("adj "), F.col("o_orderpriority")).alias("adjustment_description"),
-                F.lit("GENERAL").alias("adjustment_type"),
-            ),
-        ).alias("adjustment_info"),
-        F.to_date(ship).alias("export_date"),
+    return (
+        table(spark, sf_dir, "lineitem")
+        .selectExpr(*LINE_COLUMNS)
+        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(seller, F.col("l_suppkey") == F.col("s_suppkey"))
+        .selectExpr(*EXPORT_COLUMNS)
     )
 
 
@@ -273,7 +262,7 @@ def _statement_rows(spark: SparkSession, sf_dir: str, part: int, date_name: str)
         "Dominio__c": _text("d", c % 8, ".test"),
         "OpportunityId__c": _text("OPP-", k),
         "SKU__c": (k % 7).cast("double"),
-        "CurrencyIsoCode__c": _pick(c % 4, CURRENCIES),
+        "CurrencyIsoCode__c": F.expr(_pick("o_custkey % 4", CURRENCIES)),
         "TotalSupport": F.when(k % 20 == 0, share("1")).otherwise(share("0.125")),
         "Margen__c": share("0.125"),
         "Total_gcp": F.when(none, 0.0).otherwise(share("0.5")),
@@ -285,7 +274,7 @@ def _statement_rows(spark: SparkSession, sf_dir: str, part: int, date_name: str)
         "Importe__c": share("1"),
         "invoice_month": F.date_format("o_orderdate", "yyyyMM"),
         date_name: F.date_format("o_orderdate", "dd-MM-yyyy"),
-        "cambio_aplicado": F.when(k % 50 != 0, _pick(c % 4, RATES)),
+        "cambio_aplicado": F.when(k % 50 != 0, F.expr(_pick("o_custkey % 4", RATES))),
         "project_id": F.when(k % 9 != 0, _text("proj-", c % 7)),
         "descripcion": _text("line ", k),
         "Margen_gcp_euros": share("0.125"),
@@ -326,10 +315,10 @@ def statements_workspace(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text("d", c % 8, ".test").alias("Dominio__c"),
         F.date_format("o_orderdate", "yyyy").alias("Anyo__c"),
         F.when(k % 40 != 0, F.date_format("o_orderdate", "MM")).alias("Mes__c"),
-        _pick(c % 4, CURRENCIES).alias("CurrencyIsoCode"),
+        F.expr(_pick("o_custkey % 4", CURRENCIES)).alias("CurrencyIsoCode"),
         _text("SKU-", k % 40).alias("SKU2__c"),
         _text("OPP-", k).alias("Oportunidad__c"),
         _text("ORD-", c % 8).alias("Order_Number__c"),
-        _pick(k % 6, USAGE_TYPES).alias("usage_type"),
+        F.expr(_pick("o_orderkey % 6", USAGE_TYPES)).alias("usage_type"),
         F.lit("flex").alias("type"),
     )

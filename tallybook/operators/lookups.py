@@ -15,15 +15,14 @@ MAX_BYTES = 64 * 1024 * 1024
 def fits_broadcast(*tables: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
     """Measure the tables in one distributed job; True when every one is within both bounds."""
 
-    def size(df: DataFrame) -> DataFrame:
-        width = reduce(
-            lambda a, b: a + b, (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns)
-        )
-        return df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"))
-
-    sizes = reduce(DataFrame.unionAll, [size(t) for t in tables])
-    largest = sizes.agg(F.max("n").alias("n"), F.max("bytes").alias("bytes")).first()
-    return largest["n"] <= max_rows and largest["bytes"] <= max_bytes
+    def widths(df: DataFrame, number: int) -> DataFrame:
+        text = F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in df.columns])
+        return df.select(F.lit(number).alias("number"), F.octet_length(text).alias("width"))
+
+    rows = reduce(DataFrame.unionAll, [widths(df, i) for i, df in enumerate(tables)])
+    sizes = rows.groupBy("number").agg(F.count(F.lit(1)).alias("rows"), F.sum("width").alias("bytes"))
+    largest = sizes.agg(F.max("rows"), F.max("bytes")).first()
+    return (largest[0] or 0) <= max_rows and (largest[1] or 0) <= max_bytes
 
 
 def join_lookup(
