@@ -464,5 +464,285 @@ def composite() -> dict[str, str]:
     }
 
 
+# The export flat, without window or account filter.
+FLAT = """
+flat AS (
+  SELECT billing_account_id, payer_billing_account_id, invoice.month AS invoice_month, service.description AS service,
+    sku.id AS sku_id, sku.description AS sku, project.id AS project_id, currency, transaction_type, seller_name, cost
+  FROM export)"""
+
+
+def _text(flag: str) -> str:
+    return f"CASE WHEN {flag} THEN 'true' WHEN NOT ({flag}) THEN 'false' ELSE 'unknown' END"
+
+
+def _counted(keys: str, source: str) -> str:
+    """Row count and cost per key; ``keys`` may carry aliases."""
+    return f"SELECT {keys}, count(*) AS n, CAST(sum(cost) AS DOUBLE) AS cost FROM {source} GROUP BY ALL"
+
+
+_MAPS_ROWS = MAPS_TEST.replace("e.service.description", "e.service")
+_THIRD_FLAG = (
+    "(t.id IS NOT NULL OR (transaction_type IN ('THIRD_PARTY_RESELLER', 'THIRD_PARTY_AGENCY') AND seller_name IS NULL))"
+)
+_MARKET_FLAG = """(transaction_type IN ('THIRD_PARTY_RESELLER', 'THIRD_PARTY_AGENCY') AND seller_name IS NOT NULL
+  AND service <> 'Compute Engine')"""
+_LABEL_TEXT = LABELLED.replace("WHERE e.export_time >= TIMESTAMP '1998-09-01 00:00:00'", "")
+
+
+def _sheet(source: str = "part") -> str:
+    return f"""SELECT 'SVC-' || (p_partkey % 20) AS service_id, p_type AS service_description, count(*) AS n,
+      count(*) FILTER (p_partkey % 2 = 1) AS with_month, min('SKU-' || p_partkey) AS first_sku, max(p_name) AS last_name
+    FROM {source} GROUP BY ALL"""
+
+
+def _left(label: str, part: int) -> str:
+    return f"""SELECT '{label}' AS source, strftime(o_orderdate, '%Y%m') AS month, count(*) AS n,
+      CAST(sum(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.5 AS DECIMAL(4,3))) AS DOUBLE) AS charge
+    FROM orders WHERE o_orderkey % 3 = {part} AND strftime(o_orderdate, '%Y%m') <> '199810' GROUP BY ALL"""
+
+
 def single() -> dict[str, str]:
-    return {}
+    """Twins of the single operators."""
+    twins = {
+        "scan_export": with_(
+            [EXPORT],
+            """SELECT invoice.month AS invoice_month, service.description AS service, cost_type, count(*) AS n,
+            count(billing_account_id) AS has_billing_account_id,
+            count(payer_billing_account_id) AS has_payer_billing_account_id, count(currency) AS has_currency,
+            count(transaction_type) AS has_transaction_type, count(seller_name) AS has_seller_name,
+            count(sku.id) AS has_sku_id, count(sku.description) AS has_sku_description,
+            count(project.id) AS has_project_id, count(usage.unit) AS has_usage_unit,
+            count(adjustment_info.adjustment_description) AS has_adjustment_info_adjustment_description,
+            CAST(sum(cost) AS DOUBLE) AS cost, CAST(sum(customer_cost) AS DOUBLE) AS customer_cost,
+            CAST(sum(len(credits)) AS BIGINT) AS credit_lines, count(credits) AS has_credits,
+            CAST(sum(len(system_labels)) AS BIGINT) AS labels, sum(usage.amount) AS usage_amount,
+            sum(currency_conversion_rate) AS rates, strftime(min(export_time), '%Y-%m-%d %H:%M:%S') AS first_export,
+            strftime(max(usage_end_time), '%Y-%m-%d %H:%M:%S') AS last_usage, min(service.id) AS first_service_id
+            FROM export GROUP BY ALL""",
+        ),
+        "scan_sheet_csv": _sheet(),
+        "empty_typed": """SELECT strftime(o_orderdate, '%Y%m') AS invoice_month, count(*) AS n,
+            CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS amount
+            FROM orders WHERE o_orderkey % 3 = 2 GROUP BY ALL""",
+        "f_account_format": with_(
+            [EXPORT, FLAT],
+            _counted("invoice_month, billing_account_id", "flat WHERE contains(billing_account_id, '-X')"),
+        ),
+        "f_rolling_months": with_(
+            [EXPORT],
+            _counted("invoice.month AS invoice_month, billing_account_id", "export WHERE export_time >= '1998-09-01'"),
+        ),
+        "f_maps_service": with_(
+            [EXPORT, FLAT, MAPS],
+            _counted("service, currency", f"flat AS e LEFT JOIN maps_list AS m ON m.name = e.service WHERE {_MAPS_ROWS}"),
+        ),
+        "f_not_maps_service": with_(
+            [EXPORT, FLAT, MAPS],
+            _counted(
+                "service, currency", f"flat AS e LEFT JOIN maps_list AS m ON m.name = e.service WHERE NOT {_MAPS_ROWS}"
+            ),
+        ),
+        "f_support_sku": with_(
+            [EXPORT, FLAT],
+            _counted(
+                "invoice_month, "
+                + _text("sku = 'GCP Partner-led Enhanced Support Variable Fee'")
+                + " AS is_support",
+                "flat",
+            ),
+        ),
+        "flag_third_party": with_(
+            [EXPORT, FLAT, SKUS],
+            _counted(
+                f"sku_id, transaction_type, {_text(_THIRD_FLAG)} AS is_third_party",
+                "flat LEFT JOIN third_skus AS t ON t.id = sku_id",
+            ),
+        ),
+        "flag_marketplace": with_(
+            [EXPORT, FLAT], _counted(f"service, transaction_type, {_text(_MARKET_FLAG)} AS is_marketplace", "flat")
+        ),
+        "split_party": with_(
+            [*COST_TABLES, detail("d", CLOUD_KEPT)],
+            f"""SELECT invoice_month, {_text(_FIRST)} AS first_party, {_text(_OTHER)} AS third_party,
+            {_text("market")} AS marketplace, CAST(sum(cost) AS DOUBLE) AS cost,
+            CAST(sum(customer_cost) AS DOUBLE) AS customer_cost FROM d GROUP BY ALL""",
+        ),
+        "two_level_costs": with_(
+            [*COST_TABLES, detail("d", CLOUD_KEPT)],
+            f"""SELECT billing_account_id, invoice_month, currency, account, {_text("third")} AS is_third_party,
+            {_text("market")} AS is_marketplace, {_text("project_id IS NULL")} AS project_is_null,
+            CASE WHEN project_id IS NULL THEN service END AS detail_service,
+            CASE WHEN project_id IS NULL THEN sku END AS detail_sku, CAST(sum(cost) AS DOUBLE) AS cost,
+            CAST(sum(customer_cost) AS DOUBLE) AS customer_cost, CAST(sum(credit) AS DOUBLE) AS credits,
+            CAST(sum(margin) AS DOUBLE) AS margin FROM d GROUP BY ALL""",
+        ),
+        "agg_sum_ifnull": with_(
+            [EXPORT],
+            """SELECT service.description AS name, currency,
+            CAST(coalesce(sum(customer_cost) FILTER (cost_type = 'adjustment'), 0) AS DOUBLE) AS adjusted,
+            CAST(coalesce(sum(cost), 0) AS DOUBLE) AS cost FROM export GROUP BY ALL""",
+        ),
+        "credits_split": with_(
+            [
+                EXPORT,
+                """
+per_row AS (SELECT invoice.month AS invoice_month, transaction_type,
+  list_sum([c.amount FOR c IN credits IF c.type = 'RESELLER_MARGIN']) AS margin,
+  list_sum([c.amount FOR c IN credits IF c.type IS NULL OR NOT c.type LIKE 'RESELLER_MARGIN']) AS cost_credit,
+  list_sum([c.amount FOR c IN credits IF c.type IS NULL OR c.type <> 'RESELLER_MARGIN']) AS invoice_credit,
+  list_sum([c.amount FOR c IN credits]) AS every FROM export)""",
+            ],
+            "SELECT invoice_month, transaction_type, "
+            + ", ".join(
+                f"CAST(sum({x}) AS DOUBLE) AS {x}, count({x}) AS n_{x}"
+                for x in ("margin", "cost_credit", "invoice_credit", "every")
+            )
+            + " FROM per_row GROUP BY ALL",
+        ),
+        "j_sku_third_party": with_(
+            [EXPORT, FLAT, SKUS],
+            _counted("sku_id, t.id IS NOT NULL AS third_party_listed", "flat LEFT JOIN third_skus AS t ON t.id = sku_id"),
+        ),
+        "j_maps_keep": with_(
+            [EXPORT, FLAT, MAPS],
+            _counted("service, m.name IS NOT NULL AS maps_listed", "flat LEFT JOIN maps_list AS m ON m.name = service"),
+        ),
+        "j_maps_anti": with_(
+            [EXPORT, FLAT, MAPS],
+            _counted(
+                "service, invoice_month", "flat WHERE NOT EXISTS (SELECT 1 FROM maps_list AS m WHERE m.name = service)"
+            ),
+        ),
+        "j_payer_label": with_(
+            [EXPORT, FLAT, PAYERS],
+            _counted(
+                "coalesce(p.account_name, 'Unknown') AS account, payer_billing_account_id",
+                "flat LEFT JOIN payers AS p ON p.payer_id = payer_billing_account_id",
+            ),
+        ),
+        "j_workspace_sku": with_(
+            [EXPORT, FLAT, LICENCES],
+            _counted(
+                "sku_id, s.flex AS sku_sf_flex, s.monthly AS sku_sf_month", "flat LEFT JOIN licences AS s ON s.id = sku_id"
+            ),
+        ),
+        "j_contract": with_(
+            [EXPORT, FLAT, CONTRACTS, f"\nsums AS ({_counted('billing_account_id, invoice_month', 'flat')})"],
+            """SELECT s.*, c.name AS contract_name, c.model AS billing_model
+            FROM sums AS s LEFT JOIN contracts AS c ON c.account_id = s.billing_account_id""",
+        ),
+        "j_currency_symbol": with_(
+            _STATEMENT_TABLES,
+            """SELECT iso AS CurrencyIsoCode__c, sign AS moneda, invoice_month, count(*) AS n FROM signed
+            WHERE billing_model = 'Flexible' GROUP BY ALL""",
+        ),
+        "j_seat_change_exists": with_(
+            [*_LICENCE_TABLES, COMMITTED],
+            """SELECT invoice_month, domain_name, usage_type, count(*) AS n, CAST(sum(google_charge) AS DOUBLE)
+            AS google_charge FROM committed GROUP BY ALL""",
+        ),
+        "j_old_discount": with_(
+            [EXPORT, PAYERS, INVOICE_LINES, f"\ninvoice_view AS ({_INVOICE})"],
+            "SELECT invoice_month, account, descuento_reseller_old FROM invoice_view",
+        ),
+        "flex_seats": with_(
+            [*_LICENCE_TABLES, SEATS, f"\nshown AS ({licence_output('seats')})"],
+            "SELECT * EXCLUDE (invoice_date, match_sf) FROM shown",
+        ),
+        "label_attributes": with_(
+            [EXPORT, _LABEL_TEXT],
+            """SELECT json_extract_string(attributes_json, '$.usage_type') AS usage_type,
+            json_extract_string(attributes_json, '$.domain_name') AS domain_name,
+            json_extract_string(attributes_json, '$.order_id') AS order_id,
+            json_extract_string(attributes_json, '$.order_id') AS direct_order_id, count(*) AS n,
+            min(attributes_json) AS first_json,
+            max(json_extract_string(attributes_json, '$.purchase_order_id')) AS last_purchase_order,
+            min(json_extract_string(attributes_json, '$.subscription_id')) AS first_subscription
+            FROM labelled GROUP BY ALL""",
+        ),
+        "invoice_dates": with_(
+            [EXPORT],
+            """SELECT m.*, s.statements FROM (
+              SELECT invoice.month AS invoice_month, invoice.month[1:4] || '-' || invoice.month[5:6] || '-01' AS invoice_date,
+                strftime(min(usage_start_time), '%Y-%m-%d') AS first_day,
+                strftime(max(usage_end_time), '%Y-%m-%d') AS last_day FROM export GROUP BY ALL) AS m
+            LEFT JOIN (SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS statements FROM orders
+              WHERE o_orderkey % 3 = 1 GROUP BY ALL) AS s ON s.day = m.invoice_date""",
+        ),
+        "statement_union": with_(
+            [STATEMENTS],
+            "SELECT billing_model, invoice_month, count(*) AS n, max(invoice_date[9:10] || '-' || invoice_date[6:7] || '-'"
+            " || invoice_date[1:4]) AS last_date, "
+            + ", ".join(
+                f"CAST(CAST(sum({x}) AS DECIMAL(24,5)) AS DOUBLE) AS {name}"
+                for x, name in [
+                    ("support", "TotalSupport"),
+                    ("gcp", "Total_gcp"),
+                    ("third", "Total_thirdparty"),
+                    ("amount", "Importe__c"),
+                    ("margin_support_maps", "Margen_soporte_maps_euros"),
+                ]
+            )
+            + " FROM statements GROUP BY ALL",
+        ),
+        "statement_strings": with_(
+            _STATEMENT_TABLES,
+            "SELECT opportunity AS OpportunityId, "
+            + ", ".join(
+                [
+                    _str("support", "TotalSupport_str"),
+                    _str("gcp", "GCP_original_str"),
+                    _str("amount", "Importe_str"),
+                    _str("third", "Total_thirdparty_str"),
+                    _str("charge", "Cargo_Google_str"),
+                ]
+            )
+            + " FROM signed",
+        ),
+        "support_only_flag": with_(
+            [STATEMENTS],
+            """SELECT 'v1' AS view, billing_model, invoice_month, count(*) FILTER (gcp + gmp <= 0.01) AS support_only,
+              count(*) AS n FROM statements GROUP BY ALL
+            UNION ALL
+            SELECT 'v2' AS view, billing_model, invoice_month, count(*) FILTER (support = amount) AS support_only,
+              count(*) AS n FROM statements GROUP BY ALL""",
+        ),
+        "fx_convert": with_(
+            [STATEMENTS],
+            "SELECT iso AS Currency, invoice_month, "
+            + ", ".join(
+                f"CAST(CAST(sum(CAST(CAST({x} AS DECIMAL(18,5)) * CAST(inverse AS DECIMAL(6,5)) AS DECIMAL(24,9)))"
+                f" AS DECIMAL(24,4)) AS DOUBLE) AS {name}"
+                for x, name in [
+                    ("support", "TotalSupport_EUR"),
+                    ("gcp", "GCP_EUR"),
+                    ("gmp", "GMP_EUR"),
+                    ("gcp + gmp + third", "Importe_sin_soporte_EUR"),
+                    ("charge", "Cargo_Google_EUR"),
+                    ("amount", "Importe_EUR"),
+                ]
+            )
+            + ", count(inverse) AS converted FROM statements GROUP BY ALL",
+        ),
+        "cargo_google": "SELECT billing_account_id, billing_model, invoice_month, account, total_gcp, total_gmp,"
+        f" cargo_google FROM ({composite()['cost_by_account']}) AS v",
+        "load_maps_services": "SELECT p_name AS sku, count(*) AS n FROM part WHERE p_partkey % 5 = 0 GROUP BY ALL",
+        "load_workspace_sku": _sheet(),
+        "load_sku_third_party": """SELECT p_type AS service_name,
+            CASE WHEN p_partkey % 4 <> 0 THEN '1998-01-01' END AS date_added, count(*) AS n,
+            min('SKU-' || p_partkey) AS first_sku, max(p_name) AS last_name FROM part GROUP BY ALL""",
+        "seed_currency_symbols": with_(
+            _STATEMENT_TABLES,
+            """SELECT iso AS CurrencyIsoCode__c, sign AS moneda, count(*) AS n FROM signed
+            WHERE billing_model = 'Anuales' GROUP BY ALL""",
+        ),
+        "purge_month": " UNION ALL ".join([_left("temp", 0), _left("by_project", 1), _left("annual", 2)])
+        + """ UNION ALL
+            SELECT 'workspace' AS source, strftime(o_orderdate, '%Y')
+              || CASE WHEN o_orderkey % 40 = 0 THEN '' ELSE strftime(o_orderdate, '%m') END AS month, count(*) AS n,
+              CAST(sum(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.5 AS DECIMAL(4,3))) AS DOUBLE) AS charge
+            FROM orders WHERE o_orderkey % 40 = 0 OR strftime(o_orderdate, '%Y%m') <> '199810' GROUP BY ALL""",
+    }
+    twins["seed_payer_accounts"] = twins["j_payer_label"]
+    return twins

@@ -21,8 +21,7 @@ def fits_broadcast(*tables: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int
 
     rows = reduce(DataFrame.unionAll, [widths(df, i) for i, df in enumerate(tables)])
     sizes = rows.groupBy("number").agg(F.count(F.lit(1)).alias("rows"), F.sum("width").alias("bytes"))
-    largest = sizes.agg(F.max("rows"), F.max("bytes")).first()
-    return (largest[0] or 0) <= max_rows and (largest[1] or 0) <= max_bytes
+    return all(size["rows"] <= max_rows and size["bytes"] <= max_bytes for size in sizes.collect())
 
 
 def join_lookup(
