@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import window_start
 
-# The date of ``export_time``; stored exports are partitioned by it.
-PARTITION = "export_date"
+# Date columns a stored export may be partitioned by: first day of the export's month, or the export's day.
+PARTITIONS = ["export_month", "export_date"]
 
 
 def account_format(export: DataFrame) -> DataFrame:
@@ -18,18 +18,24 @@ def account_format(export: DataFrame) -> DataFrame:
     return export.filter(F.col("billing_account_id").like("%-%-%"))
 
 
-def rolling_months(export: DataFrame, as_of: dt.date | None = None) -> DataFrame:
-    """Keep rows exported since the start of the third month before ``as_of``; there is no upper edge.
+def exported_since(export: DataFrame, start: Column) -> DataFrame:
+    """Keep rows exported at or after midnight of ``start``.
 
-    The edge is midnight, so the plain comparison equals one on whole days and reaches the file scan. On a stored
-    export the partition column gets the same edge, and older folders are never listed.
+    The plain comparison equals one on whole days and reaches the file scan. On a stored export its partition column
+    is compared too, so that older folders are never listed.
     """
-    start = window_start(as_of)
-    if PARTITION in export.columns:
-        export = export.filter(F.col(PARTITION) >= start)
+    edges = {"export_month": F.trunc(start, "month"), "export_date": start}
+    for name in PARTITIONS:
+        if name in export.columns:
+            export = export.filter(F.col(name) >= edges[name])
     return export.filter(F.col("export_time") >= start.cast("timestamp"))
 
 
-def delete_where(df: DataFrame, condition) -> DataFrame:
+def rolling_months(export: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    """Keep rows exported since the start of the third month before ``as_of``; there is no upper edge."""
+    return exported_since(export, window_start(as_of))
+
+
+def delete_where(df: DataFrame, condition: Column) -> DataFrame:
     """What a DELETE with this condition leaves: rows where it is false or NULL."""
     return df.filter(~F.coalesce(condition, F.lit(False)))

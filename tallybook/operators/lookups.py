@@ -12,7 +12,7 @@ MAX_ROWS = 1_000_000
 MAX_BYTES = 64 * 1024 * 1024
 
 
-def fits_broadcast(*tables: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
+def fits_broadcast(*tables: DataFrame) -> bool:
     """Measure the tables in one distributed job; True when every one is within both bounds."""
 
     def widths(df: DataFrame, number: int) -> DataFrame:
@@ -21,7 +21,7 @@ def fits_broadcast(*tables: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int
 
     rows = reduce(DataFrame.unionAll, [widths(df, i) for i, df in enumerate(tables)])
     sizes = rows.groupBy("number").agg(F.count(F.lit(1)).alias("rows"), F.sum("width").alias("bytes"))
-    return all(size["rows"] <= max_rows and size["bytes"] <= max_bytes for size in sizes.collect())
+    return all(size["rows"] <= MAX_ROWS and size["bytes"] <= MAX_BYTES for size in sizes.collect())
 
 
 def join_lookup(

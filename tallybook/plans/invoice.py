@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.services import PROGRAM_SERVICES, SUPPORT_SKU
 from ..operators.charges import charge_lines, flat, sum_charges, total
-from ..operators.filters import PARTITION, account_format, rolling_months
+from ..operators.filters import account_format, exported_since, rolling_months
 from ..operators.lookups import fits_broadcast, with_contract, with_payer_label
 
 
@@ -27,9 +27,7 @@ def reseller_invoice(export: DataFrame, payers: DataFrame, *, since: dt.date | N
     small = fits_broadcast(payers)
     rows = account_format(export)
     if since is not None:
-        if PARTITION in rows.columns:
-            rows = rows.filter(F.col(PARTITION) >= F.lit(since))
-        rows = rows.filter(F.col("export_time") >= F.lit(since).cast("timestamp"))
+        rows = exported_since(rows, F.lit(since))
     rows = flat(rows).filter(F.col("service") != "Invoice")
     rows = rows.withColumn("is_program", F.col("service").isin(PROGRAM_SERVICES))
     measures = ["cost", "all_credits", "invoice_credits", "margin", "n"]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, StructType
 
-from ..operators.filters import PARTITION
+from ..operators.filters import PARTITIONS
 from ..session import fresh_folder
 from .schemas import TABLES, export_schema
 
@@ -60,16 +60,21 @@ def read_export(spark: SparkSession, where: str, money: DataType | None = None)
     """
     if "/" not in where:
         return spark.table(where)
-    return spark.read.schema(export_schema(money or DoubleType()).add(PARTITION, "date")).parquet(where)
+    return spark.read.schema(export_schema(money or DoubleType())).parquet(where)
 
 
-def store_export(export: DataFrame, folder: str, *, mode: str = "error") -> None:
-    """Write the export partitioned by export day, so that windowed views list only the days they need.
+def store_export(export: DataFrame, folder: str, *, by: str = "month", mode: str = "error") -> None:
+    """Write the export partitioned by export month (or ``by="day"``), so that windowed views list only what they need.
 
-    The rebalance hint lets the adaptive planner cut big days into several files and pack small ones.
+    The window always starts with a month, so months prune as well as days and make fewer files. The rebalance hint
+    lets the adaptive planner cut big partitions into several files and pack small ones.
     """
-    rows = export.withColumn(PARTITION, F.to_date("export_time")).hint("rebalance", PARTITION)
-    rows.write.mode(mode).partitionBy(PARTITION).parquet(folder)
+    name, value = {
+        "month": ("export_month", F.trunc("export_time", "month")),
+        "day": ("export_date", F.to_date("export_time")),
+    }[by]
+    rows = export.drop(*PARTITIONS).withColumn(name, value).hint("rebalance", name)
+    rows.write.mode(mode).partitionBy(name).parquet(folder)
 
 
 def read_sheet_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
