@@ -13,9 +13,11 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    session = check_oracle.session()
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+def spark():
+    session = check_oracle.session(4)
+    session.conf.set("spark.sql.shuffle.partitions", "2")
+    session.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    session.conf.set("spark.sql.leafNodeDefaultParallelism", "2")
     yield session
     session.stop()
 
@@ -28,3 +30,11 @@ def duck():
 @pytest.fixture
 def root(tmp_path):
     return str(tmp_path)
+
+
+@pytest.fixture
+def interpreted(spark):
+    """Compiling a plan costs more than running it over a handful of rows."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")

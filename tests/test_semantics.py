@@ -16,6 +16,8 @@ from tallybook.functions.services import is_maps_service
 from tallybook.operators.filters import account_format, delete_where, rolling_months
 from tallybook.plans import accounts, costs, invoice, workspace
 
+pytestmark = pytest.mark.usefixtures("interpreted")
+
 
 def gcp(spark, *rows, third=(), listed=(), plan=costs.gcp_costs, **options):
     return plan(export(spark, *rows), skus(spark, *third), maps(spark, *listed), payers(spark), AS_OF, **options)
