@@ -11,8 +11,7 @@ ATTRIBUTES = ["domain_name", "order_id", "purchase_order_id", "subscription_id",
 
 def label_name(key: Column) -> Column:
     """The part of a label key after its last slash; NULL (the label is dropped) when nothing follows it."""
-    last = F.substring_index(key, "/", -1)
-    return F.when(key.contains("/"), F.nullif(last, F.lit(""))).otherwise(key)
+    return F.when(~key.endswith("/"), F.substring_index(key, "/", -1))
 
 
 def attributes_json(labels: Column) -> Column:
@@ -33,14 +32,3 @@ def label_value(labels: Column, name: str) -> Column:
     """One attribute straight from the array: the first label of that name. Also right for values with quotes."""
     found = F.filter(labels, lambda kv: (label_name(kv["key"]) == name) & kv["value"].isNotNull())
     return F.get(found, 0)["value"]
-
-
-def may_hold(labels: Column, name: str) -> Column:
-    """False only when :func:`attribute` surely gives NULL for ``name``.
-
-    A cheap first filter without lambdas: some key has to contain the name, unless a quote or a backslash in the
-    text could make the parser read something else. Cloud rows without licence labels stop here.
-    """
-    keys, values = F.array_join(labels["key"], "\n"), F.array_join(labels["value"], "\n")
-    odd = keys.contains('"') | keys.contains("\\") | values.contains('"') | values.contains("\\")
-    return keys.contains(name) | odd

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,9 +11,10 @@ from pyspark.sql import functions as F
 from builders import AS_OF, dicts, export, licences, maps, one, payers, plain, skus
 from tallybook.functions import credits as credit_functions
 from tallybook.functions.dates import statement_date, window_start
-from tallybook.functions.labels import attribute, attributes_json, label_value, may_hold
+from tallybook.functions.labels import attribute, attributes_json, label_value
 from tallybook.functions.money import in_euros, numeric, numeric_text
 from tallybook.functions.services import is_maps_service
+from tallybook.operators.attributes import with_attributes
 from tallybook.operators.filters import account_format, delete_where, rolling_months
 from tallybook.plans import accounts, costs, invoice, workspace
 
@@ -253,19 +255,26 @@ def test_first_duplicate_wins_and_quotes_break_the_text_form_only(spark):
     assert values(quoted) == (None, 'a"b')
 
 
-@pytest.mark.parametrize(
-    "pairs, expected",
-    [
-        ([("x/usage_type", "FLEXIBLE_SEATS_ITEM")], True),
-        ([("goog-label", "v")], False),
-        ([("k", 'v", "usage_type": "FLEXIBLE_SEATS_ITEM')], True),
-        ([("usage\\u005ftype", "v")], True),
-    ],
-)
-def test_cheap_label_filter_never_loses_a_match(spark, pairs, expected):
-    df = labels_frame(spark, *pairs)
-    cheap, text = df.select(may_hold(F.col("l"), "usage_type"), attribute(attributes_json(F.col("l")), "usage_type")).first()
-    assert cheap is expected and (cheap or text is None)
+def test_array_and_text_forms_agree(spark):
+    """The short way round the parser gives what the parser gives, odd characters included."""
+    pick = random.Random(5)
+    keys = ["usage_type", "x/usage_type", "a/b/usage_type", "usage_type/", "other", "", "x/", None, 'usage_type"', "é"]
+    values = ["FLEX", "", "a b", "a, b: {c}", 'q"uote', "back\\u0041", "tab\t", "line\n", "é€", None, '", "usage_type": "X']
+    rows = [([(pick.choice(keys), pick.choice(values)) for _ in range(pick.randrange(5))],) for _ in range(600)]
+    df = spark.createDataFrame(rows + [(None,)], "l array<struct<key:string,value:string>>")
+    text = attributes_json(F.col("l"))
+    df = df.select("l", text.alias("text"), attribute(text, "usage_type").alias("parsed"))
+    got = with_attributes(df, "l").select("text", "attributes_json", "parsed", "usage_type").collect()
+    assert [r for r in got if r["text"] != r["attributes_json"] or r["parsed"] != r["usage_type"]] == []
+    assert len(got) == 601 and len({r["parsed"] for r in got}) > 4
+
+
+def test_usage_type_hidden_in_odd_text_is_found(spark):
+    hidden = {"labels": [("k", 'v", "usage_type": "COMMITMENT_MONTHLY_ITEM')]}
+    escaped = {"labels": [("usage_type", "COMMITMENT_MONTHLY\\u005fITEM")], "cost": 3}
+    broken = {"labels": [("usage_type", "COMMITMENT_MONTHLY_ITEM"), ("k", 'a"b')], "cost": 5}
+    got = charges(spark, hidden, escaped, broken)
+    assert {plain(r["google_charge"]) for r in got.collect()} >= {10, 3}
 
 
 def licence(kind, domain="d", **changes):
