@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import line_dedup, mixing, packing, quality_rules, simhash
+from tallybook.llm import line_dedup, mixing, packing, quality_rules, simhash, toxicity, warc
 from tallybook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).documents
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.cleaned(docs)
@@ -37,8 +45,41 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: query for name, query in globals().items() if name.startswith("op")}
+    return dict(sorted(((n, q) for n, q in globals().items() if n.startswith("op")), key=lambda nq: int(nq[0][2:].split("_")[0])))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The twins of op6 and op8. The tests hold the others, which SQL can't express, against brute force."""
+    return {"op6_warc": OP6, "op8_line_dedup": OP8}
+
+
+OP8 = """
+WITH l AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+        generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
+    FROM documents
+), k AS (
+    SELECT *, translate(
+        trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
+    ) AS key FROM l
+), f AS (
+    SELECT key AS frequent FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(frequent) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE frequent IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN f ON key = frequent
+GROUP BY doc_id
+"""
+
+OP6 = """
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+    SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
