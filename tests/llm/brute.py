@@ -131,3 +131,14 @@ def mixing_targets(docs, weights=(3, 1, 2), share=1.5, limit=2):
             total -= limit * sizes[s]
         left -= stopped
     return out
+
+
+def nearest(rows, k=20, every=20):
+    """rows: (vec_id, vector). {query_id: [(vec_id, score), ...]}"""
+    rows = [(i, np.asarray(v, np.float64)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = {}
+    for q, x in rows:
+        if q % every == 0:
+            near = sorted(((-float((x * y).sum()), i) for i, y in rows if i != q))[:k]
+            out[q] = [(i, -s) for s, i in near]
+    return out
