@@ -8,7 +8,6 @@ past the filter of their shard; what the filter lets through is confirmed by the
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -268,6 +267,3 @@ def cleaned(docs: DataFrame, *, least: int = 10) -> DataFrame:
 
     return joined.mapInArrow(cut, schema)
 
-
-def sha256(text: str) -> str:
-    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()

@@ -142,3 +142,19 @@ def nearest(rows, k=20, every=20):
             near = sorted(((-float((x * y).sum()), i) for i, y in rows if i != q))[:k]
             out[q] = [(i, -s) for s, i in near]
     return out
+
+
+def suffix_dedup(docs, length=400):
+    """{doc_id: (n_bytes, n_removed, n_spans, kept_sha256)}"""
+    texts = [(doc, (text or "").encode()) for doc, text in docs]
+    count = Counter(xxhash.xxh3_128_digest(t[i : i + length]) for _, t in texts for i in range(len(t) - length + 1))
+    out = {}
+    for doc, t in texts:
+        gone = np.zeros(len(t), bool)
+        for i in range(len(t) - length + 1):
+            if count[xxhash.xxh3_128_digest(t[i : i + length])] > 1:
+                gone[i : i + length] = True
+        kept = np.frombuffer(t, np.uint8)[~gone].tobytes()
+        spans = int(np.sum(np.diff(np.r_[0, gone.astype(np.int8)]) == 1))
+        out[doc] = (len(t), int(gone.sum()), spans, sha(kept))
+    return out
