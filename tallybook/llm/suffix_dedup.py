@@ -325,7 +325,8 @@ def _shards(batches: Iterator[pa.RecordBatch], length: int, size: int) -> Iterat
         kept = np.ones(len(data), bool)
         kept[at + lengths] = False
         text[:-1] = np.where(kept & (data == 0), 0xFE, np.where(kept & (data == 1), 0xFF, data))
-        hits = repeated(text, length)[: len(data)] & kept
+        inside = np.arange(len(data)) + length <= np.repeat(at + lengths, lengths + 1)  # the string ends in its region
+        hits = repeated(text, length)[: len(data)] & inside
         edges = np.flatnonzero(np.diff(np.r_[False, hits, False].astype(np.int8))).reshape(-1, 2)
         which = np.searchsorted(at, edges[:, 0], side="right") - 1
         names = np.array([(a, r) for a, r, _ in held], np.int64)[which].reshape(-1, 2)
