@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import hash_forest, line_dedup, mixing, packing, quality_rules, simhash, suffix_dedup, toxicity, warc
+from tallybook.llm import hash_forest, license_scan, line_dedup, mixing, packing, quality_rules, simhash, suffix_dedup, toxicity, warc
 from tallybook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
