@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import uuid
 from collections.abc import Callable
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampType
 
-from tallybook.functions.credits import is_cost_credit, is_invoice_credit, is_margin, row_total
 from tallybook.functions.dates import invoice_date, statement_date
 from tallybook.functions.flags import first_party_share, is_marketplace, is_third_party, third_party_share
-from tallybook.functions.labels import ATTRIBUTES, attribute, attributes_json, label_value
+from tallybook.functions.money import with_symbol
 from tallybook.functions.services import CLOUD_EXCLUDED, is_maps_service, is_support_fee
-from tallybook.operators.charges import flat, total
+from tallybook.functions.labels import label_value
+from tallybook.operators.attributes import with_attributes
+from tallybook.operators.charges import charge_lines, flat, total
 from tallybook.operators.filters import account_format, rolling_months
 from tallybook.operators.lookups import (
     with_contract,
@@ -81,6 +85,9 @@ def view_queries(export: Query) -> dict[str, Query]:
 
     return {
         "billing_gcp": cloud,
+        "billing_gcp_double": lambda s, d: costs.gcp_costs(
+            t.in_doubles(export(s, d)), t.sku_third_party(s), t.maps_services(s), t.payer_accounts(s), t.AS_OF
+        ),
         "billing_gcp_by_project": cloud_project,
         "billing_gmp": maps,
         "billing_gmp_by_project": cost(costs.gmp_costs_by_project),
@@ -153,7 +160,10 @@ def _sheet_profile(sheet: DataFrame) -> DataFrame:
 
 
 def empty_typed(s: SparkSession, d: str) -> DataFrame:
-    rows = empty(s, schemas.STATEMENTS_ANNUAL).limit(0).unionByName(t.statements_annual(s, d))
+    """The empty relation takes part in a union with all statements and adds its columns, but no row."""
+    rows = empty(s, schemas.STATEMENTS_ANNUAL)
+    for source in (t.statements_flexible, t.statements_by_project, t.statements_annual):
+        rows = rows.unionByName(source(s, d).select("invoice_month", "Importe__c"), allowMissingColumns=True)
     return rows.groupBy("invoice_month").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("Importe__c").cast("decimal(18,5)")).alias("amount")
     )
@@ -212,14 +222,11 @@ def agg_sum_ifnull(s: SparkSession, d: str) -> DataFrame:
 
 
 def credits_split(s: SparkSession, d: str) -> DataFrame:
-    forms = {"margin": is_margin, "cost_credit": is_cost_credit, "invoice_credit": is_invoice_credit, "every": None}
-    rows = t.export(s, d).select(
-        F.col("invoice.month").alias("invoice_month"),
-        "transaction_type",
-        *[row_total(F.col("credits"), keep).alias(name) for name, keep in forms.items()],
-    )
-    return rows.groupBy("invoice_month", "transaction_type").agg(
-        *[F.sum(name).alias(name) for name in forms], *[F.count(name).alias(f"n_{name}") for name in forms]
+    """The four sums of the credits, over the lines that all views sum, and how many credits each adds."""
+    forms = {"margin": "margin", "cost_credit": "credits", "invoice_credit": "invoice_credits", "every": "all_credits"}
+    return charge_lines(flat(t.export(s, d))).groupBy("invoice_month", "transaction_type").agg(
+        *[F.sum(line).alias(name) for name, line in forms.items()],
+        *[F.count(line).alias(f"n_{name}") for name, line in forms.items()],
     )
 
 
@@ -244,8 +251,13 @@ def j_contract(s: SparkSession, d: str) -> DataFrame:
     return with_contract(sums, t.contracts(s))
 
 
+def _all_statements(s: SparkSession, d: str) -> DataFrame:
+    sources = (t.statements_flexible(s, d), t.statements_by_project(s, d), t.statements_annual(s, d))
+    return statements.statement_union(*sources)
+
+
 def j_currency_symbol(s: SparkSession, d: str) -> DataFrame:
-    rows = with_currency_symbol(t.statements_flexible(s, d), t.currency_symbols(s))
+    rows = with_currency_symbol(_all_statements(s, d), t.currency_symbols(s))
     return rows.groupBy("CurrencyIsoCode__c", "moneda", "invoice_month").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -266,13 +278,8 @@ def j_old_discount(s: SparkSession, d: str) -> DataFrame:
 
 
 def label_attributes(s: SparkSession, d: str) -> DataFrame:
-    labels, text = F.col("system_labels"), F.col("attributes_json")
-    rows = t.export(s, d).select(labels, attributes_json(labels).alias("attributes_json"))
-    rows = rows.select(
-        text,
-        *[attribute(text, name).alias(name) for name in ATTRIBUTES],
-        label_value(labels, "order_id").alias("direct_order_id"),
-    )
+    rows = t.export(s, d).select("system_labels", label_value(F.col("system_labels"), "order_id").alias("direct_order_id"))
+    rows = with_attributes(rows)
     return rows.groupBy("usage_type", "domain_name", "order_id", "direct_order_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("attributes_json").alias("first_json"),
@@ -285,7 +292,7 @@ def invoice_dates(s: SparkSession, d: str) -> DataFrame:
     rows = t.export(s, d).groupBy(F.col("invoice.month").alias("invoice_month")).agg(
         F.min(F.to_date("usage_start_time")).alias("first_day"), F.max(F.to_date("usage_end_time")).alias("last_day")
     )
-    days = t.statements_by_project(s, d).groupBy(statement_date(F.col("invoice_date")).alias("day")).agg(
+    days = _all_statements(s, d).groupBy(statement_date(F.col("date_text")).alias("day")).agg(
         F.count(F.lit(1)).alias("statements")
     )
     dated = rows.withColumn("invoice_date", invoice_date(F.col("invoice_month")))
@@ -293,9 +300,7 @@ def invoice_dates(s: SparkSession, d: str) -> DataFrame:
 
 
 def statement_union_profile(s: SparkSession, d: str) -> DataFrame:
-    rows = statements.statement_union(
-        t.statements_flexible(s, d), t.statements_by_project(s, d), t.statements_annual(s, d)
-    )
+    rows = _all_statements(s, d)
     amounts = ["TotalSupport", "Total_gcp", "Total_thirdparty", "Importe__c", "Margen_soporte_maps_euros"]
     return rows.groupBy("billing_model", "invoice_month").agg(
         F.count(F.lit(1)).alias("n"),
@@ -309,9 +314,15 @@ def _statement(plan, s: SparkSession, d: str) -> DataFrame:
 
 
 def statement_strings(s: SparkSession, d: str) -> DataFrame:
-    v1 = _statement("statement_lines", s, d).select("OpportunityId", "TotalSupport_str", "GCP_original_str", "Importe_str")
-    v2 = _statement("statement_lines_view", s, d).select("OpportunityId__c", "Total_thirdparty_str", "Cargo_Google_str")
-    return v1.join(v2, F.col("OpportunityId") == F.col("OpportunityId__c")).drop("OpportunityId__c")
+    """The display strings of both views; each row of the union stands once in either, so no join is needed."""
+    rows = _all_statements(s, d)
+    rows = with_currency_symbol(rows, t.currency_symbols(s))
+    shown = {"TotalSupport_str": "TotalSupport", "GCP_original_str": "Total_gcp", "Importe_str": "Importe__c",
+             "Total_thirdparty_str": "Total_thirdparty", "Cargo_Google_str": "Cargo_Google__c"}
+    return rows.select(
+        F.col("OpportunityId__c").alias("OpportunityId"),
+        *[with_symbol(F.col("moneda"), F.col(amount)).alias(name) for name, amount in shown.items()],
+    )
 
 
 def support_only_flag(s: SparkSession, d: str) -> DataFrame:
@@ -354,8 +365,20 @@ def _copy(source: Callable[[SparkSession, str], DataFrame], profile: Callable[[D
 
 
 def sheet_from_csv(s: SparkSession, d: str) -> DataFrame:
+    """A sheet written as spreadsheets do it: by Python's csv module, one file with a header for each partition."""
     path = f"{fresh_folder(s, 'sheet')}.csv"
-    t.sku_sheet(s, d).write.option("header", True).csv(path)
+    names = schemas.WORKSPACE_SKUS.names
+
+    def lines(batches):
+        yield pd.DataFrame({"value": [",".join(names)]})
+        for batch in batches:
+            out = io.StringIO()
+            writer = csv.writer(out, lineterminator="\n")
+            writer.writerows([None if v is None else str(v) for v in row] for row in batch.itertuples(index=False))
+            if len(batch):
+                yield pd.DataFrame({"value": [out.getvalue().removesuffix("\n")]})
+
+    t.sku_sheet(s, d).mapInPandas(lines, "value string").write.text(path)
     return read_sheet_csv(s, path, schemas.WORKSPACE_SKUS)
 
 
@@ -374,7 +397,7 @@ def seed_currency_symbols(s: SparkSession, d: str) -> DataFrame:
     name = f"symbols_{uuid.uuid4().hex}"
     jobs.load_lookup(s, {"EUR": "?"}, schemas.CURRENCY_SYMBOLS, name)
     jobs.load_lookup(s, t.SYMBOLS, schemas.CURRENCY_SYMBOLS, name)
-    rows = with_currency_symbol(t.statements_annual(s, d), s.table(name))
+    rows = with_currency_symbol(_all_statements(s, d), s.table(name))
     result = rows.groupBy("CurrencyIsoCode__c", "moneda").agg(F.count(F.lit(1)).alias("n"))
     s.sql(f"DROP TABLE {name}")
     return result

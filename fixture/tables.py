@@ -204,6 +204,17 @@ def workspace_skus(spark: SparkSession) -> DataFrame:
     return literal(spark, rows, schemas.WORKSPACE_SKUS)
 
 
+def in_doubles(export: DataFrame) -> DataFrame:
+    """The export with amounts as doubles, an eighth of the others: more decimals, and no sum that doubles hold exactly."""
+    return export.withColumns({
+        "cost": F.col("cost").cast("double") / 8,
+        "customer_cost": F.col("customer_cost").cast("double") / 8,
+        "credits": F.transform(
+            "credits", lambda c: F.struct(c["type"].alias("type"), (c["amount"].cast("double") / 8).alias("amount"))
+        ),
+    })
+
+
 def contracts(spark: SparkSession) -> DataFrame:
     terms = [(0, "Flexible"), (0, "Anual"), (1, "Flexible"), (2, "Anual"), (3, "Flexible"), (4, "Anual"), (5, "Flexible")]
     rows = [
@@ -218,21 +229,22 @@ def currency_symbols(spark: SparkSession) -> DataFrame:
 
 
 def sku_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A licence-code sheet with one row per part."""
+    """A licence-code sheet with one row per part; some names hold quotes, line breaks or a last backslash."""
     p = F.col("p_partkey")
+    end = F.when(p % 7 == 1, F.lit(' 5" x')).when(p % 7 == 2, F.lit("\nnew, line")).when(p % 7 == 3, F.lit("\\")).otherwise(F.lit(""))
     return table(spark, sf_dir, "part").select(
         _text("SKU-", p).alias("sku_id"),
         _text("FLEX-", p).alias("sku_sf_flex"),
         F.when(p % 2 != 0, _text("MONTH-", p)).alias("sku_sf_month"),
         _text("SVC-", p % 20).alias("service_id"),
         F.col("p_type").alias("service_description"),
-        F.col("p_name").alias("sku_description"),
+        F.concat("p_name", end).alias("sku_description"),
     )
 
 
 def maps_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A maps-service list with one row per part of the maps brands."""
-    return table(spark, sf_dir, "part").filter(F.col("p_partkey") % 5 == 0).select(F.col("p_name").alias("sku"))
+    """A maps-service list with one row per part."""
+    return table(spark, sf_dir, "part").select(F.col("p_name").alias("sku"))
 
 
 def third_party_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:

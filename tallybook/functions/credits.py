@@ -1,13 +1,7 @@
-"""Sums over the credits array of one row, and tests on one credit.
-
-The aggregate plans unnest credits instead (see ``operators.charges``): that stays in generated code, while these
-lambda forms are interpreted. Use these when a result is wanted per row.
-"""
+"""Tests on one credit; ``operators.charges`` unnests and sums credits."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,13 +20,3 @@ def is_cost_credit(kind: Column) -> Column:
 def is_invoice_credit(kind: Column) -> Column:
     """The reseller invoice's test, by plain inequality."""
     return kind.isNull() | (kind != F.lit(MARGIN))
-
-
-def row_total(credits: Column, keep: Callable[[Column], Column] | None = None) -> Column:
-    """Sum of the amounts whose type passes ``keep``; NULL when none does, as SUM over no rows is."""
-    amounts = credits if keep is None else F.filter(credits, lambda c: keep(c["type"]))
-    amounts = F.filter(F.transform(amounts, lambda c: c["amount"]), lambda a: a.isNotNull())
-    return F.when(
-        F.size(amounts) > 0,
-        F.reduce(amounts, F.lit(0).cast("decimal(28,4)"), lambda total, a: (total + a).cast("decimal(28,4)")),
-    )

@@ -14,15 +14,6 @@ def label_name(key: Column) -> Column:
     return F.when(~key.endswith("/"), F.substring_index(key, "/", -1))
 
 
-def attributes_json(labels: Column) -> Column:
-    """The labels as object text, names shortened. Values are not escaped; entries with a NULL part are left out."""
-    quote = F.lit('"')
-    entries = F.transform(
-        labels, lambda kv: F.concat(quote, label_name(kv["key"]), F.lit('": "'), kv["value"], quote)
-    )
-    return F.concat(F.lit("{"), F.coalesce(F.array_join(entries, ", "), F.lit("")), F.lit("}"))
-
-
 def attribute(text: Column, name: str) -> Column:
     """One attribute out of the object text; NULL when absent or when the text is broken."""
     return F.get_json_object(text, f"$.{name}")

@@ -21,8 +21,12 @@ def in_euros(amount: Column, rate: Column, *, strict: bool = True) -> Column:
 
 
 def numeric_text(amount: Column) -> Column:
-    """Decimal as text without trailing zeros: 12.5, 100, 0."""
-    return F.rtrim(F.rtrim(amount.cast("string"), F.lit("0")), F.lit("."))
+    """Decimal as text without trailing zeros: 12.5, 100, 0.
+
+    A plain cast writes small numbers with an exponent unless the session is ANSI; this form never does.
+    """
+    text = F.replace(F.format_number(amount, 9), F.lit(","), F.lit(""))
+    return F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
 
 
 def with_symbol(symbol: Column, amount: Column) -> Column:

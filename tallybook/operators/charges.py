@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType
 
 from ..functions.credits import is_cost_credit, is_invoice_credit, is_margin
 
@@ -22,6 +23,8 @@ DIMENSIONS = {
     "seller_name": "seller_name",
 }
 
+# Amounts stored as floating numbers are added in this type, so that no order of addition changes a sum.
+EXACT = DecimalType(28, 9)
 MEASURES = ["cost", "customer_cost", "credits", "invoice_credits", "all_credits", "margin"]
 
 
@@ -32,19 +35,34 @@ def flat(export: DataFrame) -> DataFrame:
     )
 
 
+def exact(amount: Column, kind: DataType) -> Column:
+    """The amount in a type whose sums are exact; ``kind`` is its own type."""
+    return amount.cast(EXACT) if isinstance(kind, (DoubleType, FloatType)) else amount
+
+
+def as_stored(df: DataFrame, names: Sequence[str], kind: DataType) -> DataFrame:
+    """Exact sums in the type of the stored amounts."""
+    if not isinstance(kind, (DoubleType, FloatType)):
+        return df
+    return df.withColumns({name: F.col(name).cast(kind) for name in names})
+
+
 def charge_lines(rows: DataFrame) -> DataFrame:
     """One line per credit, with the row's cost on the first line (and on the only line of a row without credits).
 
     Every consumer sums the lines, so nothing is counted twice, and the unnesting stays inside the scan stage.
+    Floating amounts become exact ones.
     """
+    money, paid = rows.schema["cost"].dataType, rows.schema["customer_cost"].dataType
     others = [c for c in rows.columns if c not in ("cost", "customer_cost", "credits")]
     lines = rows.select(*others, "cost", "customer_cost", F.posexplode_outer("credits").alias("_no", "_credit"))
     first = F.coalesce("_no", F.lit(0)) == 0
-    kind, amount = F.col("_credit.type"), F.col("_credit.amount")
+    kind = F.col("_credit.type")
+    amount = exact(F.col("_credit.amount"), rows.schema["credits"].dataType.elementType["amount"].dataType)
     return lines.select(
         *others,
-        F.when(first, F.col("cost")).alias("cost"),
-        F.when(first, F.col("customer_cost")).alias("customer_cost"),
+        F.when(first, exact(F.col("cost"), money)).alias("cost"),
+        F.when(first, exact(F.col("customer_cost"), paid)).alias("customer_cost"),
         F.when(is_cost_credit(kind), amount).alias("credits"),
         F.when(is_invoice_credit(kind), amount).alias("invoice_credits"),
         amount.alias("all_credits"),

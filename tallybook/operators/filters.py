@@ -26,7 +26,7 @@ def exported_since(export: DataFrame, start: Column) -> DataFrame:
     """Keep rows exported at or after midnight of ``start``.
 
     The plain comparison equals one on whole days and reaches the file scan. On a stored export its partition column
-    is compared too, so that older folders are never listed.
+    is compared too: older folders are not read, and not even listed where the catalog keeps the partitions.
     """
     edges = {"export_month": F.trunc(start, "month"), "export_date": start}
     for name in PARTITIONS:

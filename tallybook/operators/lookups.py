@@ -7,13 +7,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A lookup within both bounds is copied to every executor (about 64 MB of text at most).
+# A lookup within both bounds meets unsummed rows, as Spark then broadcasts it by default.
 MAX_ROWS = 1_000_000
-MAX_BYTES = 64 * 1024 * 1024
+MAX_BYTES = 8 * 1024 * 1024
 
 
-def fits_broadcast(*tables: DataFrame) -> bool:
-    """Measure the tables in one distributed job; True when every one is within both bounds."""
+def small_enough(*tables: DataFrame) -> list[bool]:
+    """Measure the tables (give the joined columns only) in one distributed job; for each, whether it is within both
+    bounds."""
 
     def widths(df: DataFrame, number: int) -> DataFrame:
         text = F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in df.columns])
@@ -21,20 +22,20 @@ def fits_broadcast(*tables: DataFrame) -> bool:
 
     rows = reduce(DataFrame.unionAll, [widths(df, i) for i, df in enumerate(tables)])
     sizes = rows.groupBy("number").agg(F.count(F.lit(1)).alias("rows"), F.sum("width").alias("bytes"))
-    return all(size["rows"] <= MAX_ROWS and size["bytes"] <= MAX_BYTES for size in sizes.collect())
+    found = {size["number"]: size["rows"] <= MAX_ROWS and size["bytes"] <= MAX_BYTES for size in sizes.collect()}
+    return [found.get(i, MAX_ROWS >= 0) for i in range(len(tables))]
 
 
 def join_lookup(
     df: DataFrame, lookup: DataFrame, on: Column, how: str = "left", *, small: bool | None = None
 ) -> DataFrame:
-    """Join a lookup. ``small`` comes from :func:`fits_broadcast`; without it Spark goes by its own measured sizes.
+    """Join a lookup. ``small`` comes from :func:`small_enough`.
 
-    A lookup that is not small meets the rows in a sort-merge join, whose hot (or NULL) keys the adaptive planner
-    splits on the row side; left, semi and anti joins all allow that.
+    No broadcast is forced: Spark decides by the sizes it finds when the query runs, so a lookup that has grown since
+    the plan was built is safe. One known not to be small meets the rows in a sort-merge join, whose hot (or NULL)
+    keys the adaptive planner splits on the row side; left, semi and anti joins all allow that.
     """
-    if small is not None:
-        lookup = F.broadcast(lookup) if small else lookup.hint("merge")
-    return df.join(lookup, on, how)
+    return df.join(lookup.hint("merge") if small is False else lookup, on, how)
 
 
 def with_payer_label(df: DataFrame, payers: DataFrame, *, small: bool | None = None) -> DataFrame:

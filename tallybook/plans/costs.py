@@ -7,13 +7,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from ..functions.flags import amount_where, first_party_share, is_marketplace, is_third_party, third_party_share
 from ..functions.services import CLOUD_EXCLUDED, MAPS_EXCLUDED, is_maps_service, is_support_fee
-from ..operators.charges import charge_lines, flat, sum_charges
+from ..operators.charges import as_stored, charge_lines, exact, flat, sum_charges
 from ..operators.filters import account_format, rolling_months
 from ..operators.lookups import (
-    fits_broadcast,
+    small_enough,
     with_maps_listing,
     with_payer_label,
     with_third_party_listing,
@@ -35,6 +36,16 @@ def _grain(by_project: bool) -> list[str]:
     return [*GRAIN, "project_id"] if by_project else GRAIN
 
 
+def _money(export: DataFrame) -> DataType:
+    return export.schema["cost"].dataType
+
+
+def _measured(skus: DataFrame | None, maps: DataFrame, payers: DataFrame) -> list[bool]:
+    """Whether each lookup is small, by the columns that are joined; one job for all."""
+    tables = [] if skus is None else [skus.select("sku_id")]
+    return small_enough(*tables, maps.select("sku"), payers.select("payer_billing_account_id", "account_name"))
+
+
 def _with_zeros(df: DataFrame, names: Sequence[str], like: str) -> DataFrame:
     zero = F.lit(0).cast(df.schema[like].dataType)
     return df.withColumns({name: zero for name in names})
@@ -74,13 +85,14 @@ def cloud_detail(
     dedupe: bool = False,
     null_is_first_party: bool = False,
 ) -> DataFrame:
-    """Level one of the cost views: sums per grain, flag pair and, for rows without a project, service and SKU.
+    """Level one of the cost views: exact sums per grain, flag pair and, for rows without a project, service and SKU.
 
     The split asks whether a detail group without project earned a margin, so those rows keep service and SKU as
     keys. Rows with a project are split by their flags alone; they are summed to the grain at once, which keeps the
     first shuffle small. ``with_maps`` keeps maps rows too (``is_maps``), so one scan serves both kinds.
     """
-    small = fits_broadcast(skus, maps, payers)
+    small_skus, small_maps, small_payers = _measured(skus, maps, payers)
+    small = small_skus and small_maps and small_payers
     rows = flat(rolling_months(account_format(export), as_of))
     service, sku = F.col("service"), F.col("sku")
     in_cloud = ~service.isin(list(exclude)) & ~is_support_fee(sku)
@@ -98,19 +110,19 @@ def cloud_detail(
     dims += ["service", "sku_id", "sku", "project_id", "resold", "is_marketplace"]
     lines = _before_joins(rows, dims, small)
     if with_maps:
-        lines = with_maps_listing(lines, maps, small=small)
+        lines = with_maps_listing(lines, maps, small=small_maps)
         lines = lines.withColumn("is_maps", is_maps_service(service, F.col("maps_listed")))
         is_maps = F.col("is_maps")
         lines = lines.filter((is_maps & ~service.isin(MAPS_EXCLUDED)) | (~is_maps & in_cloud))
     else:
-        lines = without_maps_listing(lines, maps, small=small).withColumn("is_maps", F.lit(False))
+        lines = without_maps_listing(lines, maps, small=small_maps).withColumn("is_maps", F.lit(False))
         is_maps = F.lit(False)
 
     def cloud_only(value: Column) -> Column:
         return F.when(~is_maps, value)
 
-    lines = with_third_party_listing(lines, skus, cloud_only(F.col("sku_id")), small=small, dedupe=dedupe)
-    lines = _after_joins(with_payer_label(lines, payers, small=small), small)
+    lines = with_third_party_listing(lines, skus, cloud_only(F.col("sku_id")), small=small_skus, dedupe=dedupe)
+    lines = _after_joins(with_payer_label(lines, payers, small=small_payers), small)
     no_project = ~is_maps & F.col("project_id").isNull()
     lines = lines.withColumns(
         {
@@ -125,8 +137,11 @@ def cloud_detail(
     return sum_charges(lines, [*keys, "detail_service", "detail_sku"], SUMS)
 
 
-def split_parties(detail: DataFrame, *, by_project: bool = False) -> DataFrame:
-    """Level two: split each detail group between first party, third party and marketplace, and sum to the grain."""
+def split_parties(detail: DataFrame, money: DataType, *, by_project: bool = False) -> DataFrame:
+    """Level two: split each detail group between first party, third party and marketplace, and sum to the grain.
+
+    The results have the type ``money`` of the stored amounts; up to here all sums are exact.
+    """
     unassigned = F.col("project_is_null") & (F.col("margin") == 0)
     third, market = F.col("is_third_party"), F.col("is_marketplace")
     first = first_party_share(third, market, unassigned)
@@ -148,7 +163,8 @@ def split_parties(detail: DataFrame, *, by_project: bool = False) -> DataFrame:
         "credits_thirdparty_marketplace": (market, credits),
     }
     sums = [F.sum(amount_where(share, amount)).alias(name) for name, (share, amount) in columns.items()]
-    return _ordered(detail.groupBy(*_grain(by_project)).agg(*sums), list(columns), by_project)
+    sums = as_stored(detail.groupBy(*_grain(by_project)).agg(*sums), list(columns), money)
+    return _ordered(sums, list(columns), by_project)
 
 
 def gcp_costs(
@@ -163,11 +179,10 @@ def gcp_costs(
     null_is_first_party: bool = False,
 ) -> DataFrame:
     """Cloud costs per account, month, currency and payer label, with third-party and marketplace shares."""
-    return split_parties(
-        cloud_detail(
-            export, skus, maps, payers, as_of, exclude=exclude, dedupe=dedupe, null_is_first_party=null_is_first_party
-        )
+    detail = cloud_detail(
+        export, skus, maps, payers, as_of, exclude=exclude, dedupe=dedupe, null_is_first_party=null_is_first_party
     )
+    return split_parties(detail, _money(export))
 
 
 def gcp_costs_by_project(
@@ -194,7 +209,7 @@ def gcp_costs_by_project(
         dedupe=dedupe,
         null_is_first_party=null_is_first_party,
     )
-    costs = split_parties(detail, by_project=True)
+    costs = split_parties(detail, _money(export), by_project=True)
     return costs if marketplace else costs.drop(*MARKETPLACE)
 
 
@@ -207,14 +222,16 @@ def gmp_costs(
     by_project: bool = False,
 ) -> DataFrame:
     """Maps costs per account, month, currency and payer label (and project)."""
-    small = fits_broadcast(maps, payers)
+    small_maps, small_payers = _measured(None, maps, payers)
+    small = small_maps and small_payers
     service = F.col("service")
     rows = flat(rolling_months(account_format(export), as_of)).filter(~service.isin(MAPS_EXCLUDED))
     dims = ["billing_account_id", "payer_billing_account_id", "invoice_month", "currency", "service"]
     lines = _before_joins(rows, [*dims, "project_id"] if by_project else dims, small)
-    lines = with_maps_listing(lines, maps, small=small).filter(is_maps_service(service, F.col("maps_listed")))
-    lines = _after_joins(with_payer_label(lines, payers, small=small), small)
+    lines = with_maps_listing(lines, maps, small=small_maps).filter(is_maps_service(service, F.col("maps_listed")))
+    lines = _after_joins(with_payer_label(lines, payers, small=small_payers), small)
     sums = sum_charges(lines, _grain(by_project), ["cost", "credits", "margin"])
+    sums = as_stored(sums, ["cost", "credits", "margin"], _money(export))
     sums = sums.withColumnsRenamed({"cost": "cost_gmp", "credits": "credits_gmp", "margin": "reseller_margin_gmp"})
     sums = _with_zeros(sums, ["cost_gcp", "credits_gcp", "reseller_margin_gcp"], "cost_gmp")
     return _ordered(sums, BASE, by_project)
@@ -249,14 +266,17 @@ def _combine(maps_costs: DataFrame, cloud_costs: DataFrame, measures: list[str],
     keys = _grain(by_project)
     left = _with_zeros(maps_costs.select(*keys, *BASE), measures[6:], "cost_gmp")
     both = left.unionByName(cloud_costs.select(*keys, *measures))
-    return _ordered(both.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]), measures, by_project)
+    money = both.schema["cost_gmp"].dataType
+    sums = both.groupBy(*keys).agg(*[F.sum(exact(F.col(m), both.schema[m].dataType)).alias(m) for m in measures])
+    return _ordered(as_stored(sums, measures, money), measures, by_project)
 
 
 def monthly_costs_one_scan(
     export: DataFrame, skus: DataFrame, maps: DataFrame, payers: DataFrame, as_of: dt.date | None = None
 ) -> DataFrame:
     """:func:`monthly_costs` from one scan of the export instead of one per kind; the same rows."""
-    return split_parties(cloud_detail(export, skus, maps, payers, as_of, exclude=CLOUD_EXCLUDED, with_maps=True))
+    detail = cloud_detail(export, skus, maps, payers, as_of, exclude=CLOUD_EXCLUDED, with_maps=True)
+    return split_parties(detail, _money(export))
 
 
 def monthly_costs_by_project_one_scan(
@@ -276,4 +296,4 @@ def monthly_costs_by_project_one_scan(
         costs = gcp_costs_by_project(export, skus, maps, payers, as_of)
         return costs.withColumns({name: F.col(name) + F.col(name) for name in BASE})
     detail = cloud_detail(export, skus, maps, payers, as_of, by_project=True, with_maps=True)
-    return split_parties(detail, by_project=True).drop(*MARKETPLACE)
+    return split_parties(detail, _money(export), by_project=True).drop(*MARKETPLACE)

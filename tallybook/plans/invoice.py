@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.services import PROGRAM_SERVICES, SUPPORT_SKU
-from ..operators.charges import charge_lines, flat, sum_charges, total
+from ..operators.charges import as_stored, charge_lines, flat, sum_charges, total
 from ..operators.filters import account_format, exported_since, rolling_months
-from ..operators.lookups import fits_broadcast, with_contract, with_payer_label
+from ..operators.lookups import small_enough, with_contract, with_payer_label
 
 
 def _counted(rows: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def reseller_invoice(export: DataFrame, payers: DataFrame, *, since: dt.date | N
     one grouping: a second look-up of the program lines, or a join with them, would scan the whole history again.
     A month and payer with program lines only gives no row. ``since`` limits the otherwise full history.
     """
-    small = fits_broadcast(payers)
+    (small,) = small_enough(payers.select("payer_billing_account_id", "account_name"))
     rows = account_format(export)
     if since is not None:
         rows = exported_since(rows, F.lit(since))
@@ -50,7 +50,7 @@ def reseller_invoice(export: DataFrame, payers: DataFrame, *, since: dt.date | N
         total(F.when(program & F.col("invoice_month").isNotNull(), F.col("cost"))).alias("descuento_reseller_old"),
         regular("n").alias("n"),
     )
-    return (
+    shown = (
         groups.filter(F.col("n") > 0)
         .select(
             "invoice_month",
@@ -64,8 +64,9 @@ def reseller_invoice(export: DataFrame, payers: DataFrame, *, since: dt.date | N
             F.col("creditos_reseller").alias("descuento_reseller_new"),
             (F.col("descuento_reseller_old") + F.col("creditos_reseller")).alias("descuento_reseller"),
         )
-        .orderBy(F.desc("invoice_month"))
     )
+    amounts = [c for c in shown.columns if c not in ("invoice_month", "account")]
+    return as_stored(shown, amounts, export.schema["cost"].dataType).orderBy(F.desc("invoice_month"))
 
 
 def support_fee(
@@ -83,6 +84,7 @@ def support_fee(
     sums = fees.groupBy("billing_account_id", "contract_name", "invoice_month", "currency", "account").agg(
         F.sum("cost").alias("cost"), F.sum("margin").alias("reseller_margin_gcp")
     )
+    sums = as_stored(sums, ["cost", "reseller_margin_gcp"], export.schema["cost"].dataType)
     return sums.select(
         "billing_account_id",
         F.col("contract_name").alias("dominio"),
@@ -107,4 +109,5 @@ def billing_adjustments(export: DataFrame, payers: DataFrame) -> DataFrame:
         F.col("adjustment_info.adjustment_type").alias("adjustment_type"),
         "payer_billing_account_id",
     )
-    return with_payer_label(rows, payers, small=fits_broadcast(payers)).drop("payer_billing_account_id")
+    (small,) = small_enough(payers.select("payer_billing_account_id", "account_name"))
+    return with_payer_label(rows, payers, small=small).drop("payer_billing_account_id")

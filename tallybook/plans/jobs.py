@@ -9,15 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.filters import delete_where
-from ..sources.tables import check_required, literal, publish
+from ..sources.schemas import TABLES
+from ..sources.tables import _quoted, check_required, literal, publish, refresh
 
 MONTHLY_STATEMENTS = ["importes_lecturas_temp", "importes_lecturas_by_project", "importes_lecturas_anuales"]
 WORKSPACE_STATEMENTS = "importes_lecturas_workspace"
 
 
 def refresh_copy(source: DataFrame, target: str, *, root: str | None = None, enabled: bool = True) -> DataFrame | None:
-    """Replace the target by a full copy of the source. A copy that is not enabled does nothing."""
-    return publish(source.select("*"), target, root=root) if enabled else None
+    """Replace the target by a full copy of the source. A copy that is not enabled does nothing.
+
+    A target of the declared tables gets its declared columns, as far as the source has just these.
+    """
+    if not enabled:
+        return None
+    schema = TABLES.get(target.replace("`", "").rsplit(".", 1)[-1])
+    same = schema and [(f.name, f.dataType) for f in schema.fields] == [(f.name, f.dataType) for f in source.schema.fields]
+    return publish(source.select("*"), target, root=root, schema=schema if same else None)
 
 
 def load_lookup(
@@ -36,25 +44,37 @@ def load_lookup(
             changed = wanted.exceptAll(held).unionAll(held.exceptAll(wanted))
             if changed.isEmpty():
                 return False
-    publish(wanted, target, root=root)
+    publish(wanted, target, root=root, schema=schema)
     return True
 
 
 def purge(spark: SparkSession, table: str, values: Mapping[str, str], *, root: str | None = None) -> None:
     """Delete the rows whose columns equal all these values; rows with a NULL there stay.
 
-    On a table partitioned by exactly these columns the partition is dropped and no row is rewritten. Otherwise the
-    surviving rows are published in place of the old ones.
+    On a table partitioned by exactly these text columns the partition's files are overwritten by nothing, which
+    removes them for good, and the partition is dropped; no other row is touched. Otherwise the surviving rows are
+    published in place of the old ones. Rows that are left all the same are an error.
     """
-    partition = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    if sorted(partition) == sorted(values):
-        spec = ", ".join(f"{name} = '{value}'" for name, value in values.items())
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-        return
+    columns = spark.catalog.listColumns(table)
+    partition = [c.name for c in columns if c.isPartition]
     condition: Column = F.lit(True)
     for name, value in values.items():
         condition = condition & (F.col(name) == F.lit(value))
-    publish(delete_where(spark.table(table), condition), table, root=root, partition_by=partition)
+    if spark.table(table).filter(condition).isEmpty():
+        return
+    if sorted(partition) == sorted(values) and all(c.dataType == "string" for c in columns if c.isPartition):
+        spec = ", ".join(f"`{name}` = {_quoted(value)}" for name, value in values.items())
+        nothing = ", ".join(f"CAST(NULL AS {c.dataType})" for c in columns if not c.isPartition)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT {nothing} WHERE false")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        spark.catalog.refreshTable(table)
+        refresh(spark)
+    else:
+        publish(
+            delete_where(spark.table(table), condition), table, root=root, partition_by=partition, schema=spark.table(table).schema
+        )
+    if not spark.table(table).filter(condition).isEmpty():
+        raise RuntimeError(f"rows of {dict(values)} are still in {table}")
 
 
 def purge_month(

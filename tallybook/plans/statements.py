@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import statement_date
 from ..functions.money import in_euros, numeric, with_symbol
-from ..operators.lookups import fits_broadcast, with_currency_symbol
+from ..operators.lookups import small_enough, with_currency_symbol
 
 # The billing model named for each source.
 FLEXIBLE = "Flexible"
@@ -56,7 +56,7 @@ def statement_union(flexible: DataFrame, by_project: DataFrame, annual: DataFram
 
 def _prepared(flexible, by_project, annual, symbols: DataFrame, strict: bool) -> DataFrame:
     rows = statement_union(flexible, by_project, annual)
-    rows = with_currency_symbol(rows, symbols, small=fits_broadcast(symbols))
+    rows = with_currency_symbol(rows, symbols, small=small_enough(symbols.select("currency_iso_code", "symbol"))[0])
     return rows.withColumn("invoice_date", statement_date(F.col("date_text"), strict=strict))
 
 

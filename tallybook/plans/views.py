@@ -3,15 +3,40 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from ..sources.tables import Tables
+from ..sources.schemas import TABLES
+from ..sources.tables import REFRESHERS, Tables
 from . import accounts, costs, invoice, statements, workspace
 
 
-def build_views(tables: Tables, as_of: dt.date | None = None) -> dict[str, DataFrame]:
-    """The fourteen views over the given tables. Nothing runs yet but the size checks of the lookups."""
+# The names of the views.
+VIEWS = [
+    "billing_gcp",
+    "billing_gcp_by_project",
+    "billing_gmp",
+    "billing_gmp_by_project",
+    "sum_costs_credits_per_month",
+    "sum_costs_credits_per_month_by_project",
+    "reseller_view",
+    "consumos_google_reseller_factura",
+    "consumos_por_account",
+    "consumos_por_proyecto_new",
+    "consumos_support_flex",
+    "gcp_billing_adjustment",
+    "importes_lecturas",
+    "vista_importes_lecturas",
+]
+Stage = Callable[[DataFrame], DataFrame]
+
+
+def build_views(tables: Tables, as_of: dt.date | None = None, *, stage: Stage | None = None) -> dict[str, DataFrame]:
+    """The fourteen views over the given tables. Nothing runs yet but the size checks of the lookups.
+
+    With ``stage``, such as ``workspace.written_once``, the licence view scans the export once, when it is built.
+    """
     read = tables.read
     export, payers = read("reseller_billing_detailed_export_v1"), read("payer_billing_accounts")
     skus, maps, contracts = read("sku_third_party"), read("maps_services"), read("billing_accounts")
@@ -30,7 +55,7 @@ def build_views(tables: Tables, as_of: dt.date | None = None) -> dict[str, DataF
         "billing_gmp_by_project": costs.gmp_costs_by_project(export, skus, maps, payers, as_of),
         "sum_costs_credits_per_month": monthly,
         "sum_costs_credits_per_month_by_project": by_project,
-        "reseller_view": workspace.workspace_charges(export, read("workspace_sku_sf"), as_of),
+        "reseller_view": workspace.workspace_charges(export, read("workspace_sku_sf"), as_of, stage=stage),
         "consumos_google_reseller_factura": invoice.reseller_invoice(export, payers),
         "consumos_por_account": accounts.cost_by_account(monthly, contracts),
         "consumos_por_proyecto_new": accounts.cost_by_project(by_project, contracts),
@@ -41,12 +66,29 @@ def build_views(tables: Tables, as_of: dt.date | None = None) -> dict[str, DataF
     }
 
 
-def register_views(tables: Tables, as_of: dt.date | None = None) -> list[str]:
+def register_views(tables: Tables, as_of: dt.date | None = None, *, stage: Stage | None = None) -> list[str]:
     """Make every view available to ``spark.sql`` under its own name.
 
-    Register again after a lookup has been reloaded: which lookups may be broadcast is decided here.
+    The views follow their tables: whatever this library writes (``publish``, ``store_export``, the jobs) rebuilds
+    them, and after a change from outside ``sources.tables.refresh(spark)`` does.
     """
-    views = build_views(tables, as_of)
-    for name, view in views.items():
-        view.createOrReplaceTempView(name)
-    return list(views)
+
+    def build() -> list[str]:
+        for place in map(tables.location, TABLES):
+            if "/" not in place and tables.spark.catalog.tableExists(place):
+                tables.spark.catalog.refreshTable(place)
+        views = build_views(tables, as_of, stage=stage)
+        for name, view in views.items():
+            view.createOrReplaceTempView(name)
+        return list(views)
+
+    names = build()
+    REFRESHERS[tables.spark.sparkContext.applicationId] = build
+    return names
+
+
+def unregister_views(tables: Tables) -> None:
+    """Drop the views and no longer rebuild them."""
+    REFRESHERS.pop(tables.spark.sparkContext.applicationId, None)
+    for name in VIEWS:
+        tables.spark.catalog.dropTempView(name)

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import invoice_date
+from ..operators.charges import as_stored, exact
 from ..operators.attributes import may_hold, with_attributes
 from ..operators.filters import rolling_months
-from ..operators.lookups import fits_broadcast, join_lookup, with_workspace_sku
+from ..operators.lookups import join_lookup, small_enough, with_workspace_sku
 from ..session import fresh_folder
 
 # Usage types.
@@ -88,6 +89,7 @@ def written_once(rows: DataFrame) -> DataFrame:
 
 def flexible_seats(rows: DataFrame) -> DataFrame:
     """Flexible seats summed per order; of columns that differ within an order the smallest value is shown."""
+    money = rows.schema["google_charge"].dataType
     keys = ["billing_account_id", "payer_billing_account_id", "invoice_month", "currency", "currency_conversion_rate"]
     keys += ["service_id", "service_description", "sku_id", "sku_description", "domain_name", "order_id", "sku_sf"]
     sums = (
@@ -95,7 +97,7 @@ def flexible_seats(rows: DataFrame) -> DataFrame:
         .withColumn("sku_sf", F.col("sku_sf_flex"))
         .groupBy(*keys)
         .agg(
-            F.sum("google_charge").alias("google_charge"),
+            F.sum(exact(F.col("google_charge"), money)).alias("google_charge"),
             F.round(F.avg(F.abs("usage_amount"))).alias("usage_amount"),
             F.min("usage_unit").alias("usage_unit"),
             F.min("usage_start_time").alias("usage_start_time"),
@@ -106,7 +108,8 @@ def flexible_seats(rows: DataFrame) -> DataFrame:
             F.min("subscription_id").alias("subscription_id"),
         )
     )
-    return sums.withColumn("usage_type", F.lit(FLEXIBLE)).filter(F.col("google_charge") != 0)
+    sums = sums.withColumn("usage_type", F.lit(FLEXIBLE)).filter(F.col("google_charge") != 0)
+    return as_stored(sums, ["google_charge"], money)
 
 
 def commitment_rows(rows: DataFrame, *, measure: bool = False) -> DataFrame:
@@ -115,15 +118,17 @@ def commitment_rows(rows: DataFrame, *, measure: bool = False) -> DataFrame:
     The commitment side is reduced to its distinct keys before it meets the seat changes; a NULL domain never matches.
     ``measure`` counts those keys first to choose the join, which pays when the rows are stored.
     """
-    commitments = rows.filter(F.col("usage_type").isin(COMMITMENTS))
-    changes = rows.filter(F.col("usage_type") == SEAT_CHANGE)
-    keys = commitments.select(*SEAT_KEYS).dropna().distinct()
+    is_commitment = F.col("usage_type").isin(COMMITMENTS)
+    keys = rows.filter(is_commitment).select(*SEAT_KEYS).dropna().distinct()
     renamed = keys.toDF(*[f"_{k}" for k in SEAT_KEYS])
-    same = F.lit(True)
+    # one pass for both kinds: the keys are distinct, so no row repeats, and only seat changes need one
+    same = F.col("usage_type") == SEAT_CHANGE
     for k in SEAT_KEYS:
         same = same & (F.col(k) == F.col(f"_{k}"))
-    kept = join_lookup(changes, renamed, same, "left_semi", small=fits_broadcast(keys) if measure else None)
-    return commitments.unionByName(kept).withColumn("sku_sf", F.col("sku_sf_month"))
+    both = rows.filter(is_commitment | (F.col("usage_type") == SEAT_CHANGE))
+    found = join_lookup(both, renamed, same, small=small_enough(keys)[0] if measure else None)
+    kept = found.filter(is_commitment | F.col(f"_{SEAT_KEYS[0]}").isNotNull())
+    return kept.drop(*renamed.columns).withColumn("sku_sf", F.col("sku_sf_month"))
 
 
 def workspace_charges(
@@ -135,14 +140,14 @@ def workspace_charges(
 ) -> DataFrame:
     """Licence charges of the window.
 
-    The licence rows are used four times (seats, commitments, commitment keys, seat changes). With ``stage``, such as
+    The licence rows are used three times (seats, commitments with seat changes, commitment keys). With ``stage``, such as
     :func:`written_once`, they are computed once and the export is scanned once; without it each use scans it.
     ``match_sf`` is true where the licence code is missing; users of the view rely on that.
     """
     rows = licence_rows(export, as_of)
     if stage is not None:
         rows = stage(rows)
-    rows = with_workspace_sku(rows, skus, small=fits_broadcast(skus))
+    rows = with_workspace_sku(rows, skus, small=small_enough(skus.select("sku_id", "sku_sf_flex", "sku_sf_month"))[0])
     both = flexible_seats(rows).unionByName(
         commitment_rows(rows, measure=stage is not None).drop("sku_sf_flex", "sku_sf_month")
     )

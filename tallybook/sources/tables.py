@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, StructType
+from pyspark.sql.types import DataType, DateType, DoubleType, StructField, StructType
 
 from ..operators.filters import PARTITIONS
-from ..session import fresh_folder
 from .schemas import TABLES, export_schema
 
 
@@ -46,7 +45,7 @@ class Tables:
             return read_export(self.spark, self.location(name), self.money)
         where = self.location(name)
         if "/" not in where:
-            return self.spark.table(where)
+            return declared_columns(self.spark.table(where), schema)
         if where.endswith(".csv"):
             return read_sheet_csv(self.spark, where, schema)
         return self.spark.read.schema(schema).parquet(where)
@@ -58,13 +57,28 @@ def read_export(spark: SparkSession, where: str, money: DataType | None = None)
     The explicit schema names only the nested fields the views use. A folder written by :func:`store_export` also
     gives its partition column.
     """
+    schema = export_schema(money or DoubleType())
     if "/" not in where:
-        return spark.table(where)
-    return spark.read.schema(export_schema(money or DoubleType())).parquet(where)
+        table = spark.table(where)
+        extra = [StructField(name, DateType()) for name in PARTITIONS if name in table.columns]
+        return declared_columns(table, StructType([*schema.fields, *extra]))
+    return spark.read.schema(schema).parquet(where)
 
 
-def store_export(export: DataFrame, folder: str, *, by: str = "month", mode: str = "error") -> None:
-    """Write the export partitioned by export month (or ``by="day"``), so that windowed views list only what they need.
+def declared_columns(df: DataFrame, schema: StructType) -> DataFrame:
+    """The declared columns in the declared order and types, whatever else the table holds. A missing one fails."""
+    return df.select(*[
+        F.col(f"`{f.name}`") if df.schema[f.name].dataType == f.dataType else F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ])
+
+
+def store_export(export: DataFrame, folder: str, *, by: str = "month", mode: str = "error", table: str | None = None) -> None:
+    """Write the export partitioned by export month (or ``by="day"``), so that windowed views read only what they need.
+
+    Reading the folder by its path first lists all of its files. With ``table`` the partitions are kept in the catalog
+    under that name, and a windowed view lists the folders of its window only. ``mode="months"`` replaces the months
+    that these rows have and leaves the others alone.
 
     The window always starts with a month, so months prune as well as days and make fewer files. The rebalance hint
     lets the adaptive planner cut big partitions into several files and pack small ones.
@@ -74,12 +88,26 @@ def store_export(export: DataFrame, folder: str, *, by: str = "month", mode: str
         "day": ("export_date", F.to_date("export_time")),
     }[by]
     rows = export.drop(*PARTITIONS).withColumn(name, value).hint("rebalance", name)
-    rows.write.mode(mode).partitionBy(name).parquet(folder)
+    writer = rows.write.option("partitionOverwriteMode", "dynamic" if mode == "months" else "static")
+    writer.mode("overwrite" if mode == "months" else mode).partitionBy(name).parquet(folder)
+    spark = export.sparkSession
+    if table:
+        if not spark.catalog.tableExists(table):
+            columns = ", ".join(_column(f) for f in rows.schema.fields)
+            spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (`{name}`) LOCATION {_quoted(folder)}")
+        spark.catalog.recoverPartitions(table)
+        spark.catalog.refreshTable(table)
+    refresh(spark)
 
 
 def read_sheet_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A spreadsheet exported as CSV: one header row skipped, columns by position, nothing inferred."""
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
+    """A spreadsheet exported as CSV: one header row skipped, columns by position, nothing inferred.
+
+    Quotes are doubled within quotes, cells may hold line breaks, a backslash is an ordinary character, and a row with
+    too few or too many cells fails the read.
+    """
+    options = {"header": True, "enforceSchema": True, "quote": '"', "escape": '"', "multiLine": True, "mode": "FAILFAST"}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def literal(spark: SparkSession, rows: Sequence[Sequence], schema: StructType) -> DataFrame:
@@ -103,29 +131,99 @@ def check_required(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[checked(f.name) if not f.nullable else F.col(f.name) for f in schema.fields])
 
 
-def publish(df: DataFrame, table: str, *, root: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
+def publish(
+    df: DataFrame,
+    table: str,
+    *,
+    root: str | None = None,
+    partition_by: Sequence[str] = (),
+    schema: StructType | None = None,
+) -> DataFrame:
     """Replace the content of a catalog table by these rows.
 
-    The rows go to a folder of their own and the table is pointed at it once the write is complete. Readers see all of
-    the old rows or all of the new ones, the rows may come from the table itself, and a failed write changes nothing.
-    Old folders are kept for running readers; clear them by age.
+    The rows go to a folder of their own and the table is pointed at it once the write is complete; the rows may come
+    from the table itself, and a failed write changes nothing. An unpartitioned table that keeps its columns switches
+    in one step. With partitions or other columns the catalog entry is dropped and made again, so a reader in between
+    finds no table; its rows are safe in either folder.
+
+    The table gets the columns that ``schema`` or else ``df`` declares: their types (also of partition columns, which
+    are not guessed from folder names) and comments. A NULL in a required column fails the write; Spark's own catalog
+    doesn't keep NOT NULL, so the declaration stays with ``schemas``. New folders lie under ``root``, or beside the table's present folder, or in the warehouse. Old folders are kept for
+    running readers; :func:`clear_old` removes them.
     """
     spark = df.sparkSession
     name = table.replace("`", "")
-    folder = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}" if root else fresh_folder(spark, name)
-    df.write.partitionBy(*partition_by).parquet(folder)
-    catalog = spark.catalog
-    if catalog.tableExists(table) and not partition_by and _same_columns(spark.table(table).schema, df.schema):
-        place = folder.replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
+    declared = schema or df.schema
+    exists = spark.catalog.tableExists(table)
+    folder = f"{_root(spark, table, name, root, exists)}/{uuid.uuid4().hex}"
+    check_required(df, declared).write.partitionBy(*partition_by).parquet(folder)
+    if exists and not partition_by and _same_columns(spark.table(table).schema, declared) and not _partitions(spark, table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(folder)}")
     else:
+        columns = ", ".join(_column(f) for f in declared.fields)
+        parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
         spark.sql(f"DROP TABLE IF EXISTS {table}")
-        catalog.createTable(table, path=folder, source="parquet")
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{parts} LOCATION {_quoted(folder)}")
         if partition_by:
-            catalog.recoverPartitions(table)
-    catalog.refreshTable(table)
+            spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    refresh(spark)
     return spark.table(table)
 
 
+#: What brings registered views up to date, by session; see ``plans.views``.
+REFRESHERS: dict[str, Callable[[], object]] = {}
+
+
+def refresh(spark: SparkSession) -> None:
+    """Rebuild the views registered in this session, after a table has changed."""
+    refresher = REFRESHERS.get(spark.sparkContext.applicationId)
+    if refresher:
+        refresher()
+
+
+def clear_old(spark: SparkSession, table: str) -> int:
+    """Remove the table's former folders, which lie beside the present one; returns how many. No reader may use them."""
+    present = _location(spark, table)
+    path = spark._jvm.org.apache.hadoop.fs.Path(present)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [f.getPath() for f in store.listStatus(path.getParent()) if f.isDirectory() and f.getPath().getName() != path.getName()]
+    # only folders that publish() names; anything else beside them is not ours
+    old = [p for p in old if len(p.getName()) == 32 and set(p.getName()) <= set("0123456789abcdef")]
+    for one in old:
+        store.delete(one, True)
+    return len(old)
+
+
+def _root(spark: SparkSession, table: str, name: str, root: str | None, exists: bool) -> str:
+    if root:
+        return f"{root.rstrip('/')}/{name}"
+    if exists and (place := _location(spark, table)).rsplit("/", 2)[-2] == name:
+        return place.rsplit("/", 1)[0]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/published/{name}"
+
+
+def _details(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r.col_name}
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    return _details(spark, table)["Location"].rstrip("/")
+
+
+def _partitions(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _column(field: StructField) -> str:
+    comment = f" COMMENT {_quoted(field.metadata['comment'])}" if field.metadata.get("comment") else ""
+    return f"`{field.name}` {field.dataType.simpleString()}{comment}"
+
+
 def _same_columns(a: StructType, b: StructType) -> bool:
-    return [(f.name, f.dataType) for f in a.fields] == [(f.name, f.dataType) for f in b.fields]
+    kept = lambda t: [(f.name, f.dataType, f.metadata.get("comment")) for f in t.fields]
+    return kept(a) == kept(b)

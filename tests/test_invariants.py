@@ -116,3 +116,40 @@ def test_doubles_work_as_amounts(spark):
     got = costs.monthly_costs_one_scan(doubled, *lookup, AS_OF)
     assert dict(got.dtypes)["cost_gmp"] == dict(got.dtypes)["cost_gcp"] == "double"
     assert same_rows(got, costs.monthly_costs_one_scan(df, *lookup, AS_OF))
+
+
+@pytest.fixture(scope="module", params=[11, 12])
+def doubles(spark, request):
+    """Amounts with many decimals, which floating sums would add differently in every order."""
+    df = export(spark, *random_rows(request.param, 300))
+    factor = F.lit(0.1) / 3
+    return df.withColumns({
+        "cost": F.col("cost") * factor,
+        "customer_cost": F.col("customer_cost") * factor,
+        "credits": F.transform("credits", lambda c: F.struct(c["type"].alias("type"), (c["amount"] * factor).alias("amount"))),
+    })
+
+
+@pytest.mark.parametrize("plan", [costs.gcp_costs, costs.gcp_costs_by_project, costs.monthly_costs_one_scan])
+def test_doubles_give_one_answer_for_every_plan(spark, doubles, monkeypatch, plan):
+    lookup = (skus(spark, "K2", "K2"), maps(spark, "Custom"), payers(spark, ("P1", "one"), ("P1", "uno")))
+    key = lambda df: sorted(map(repr, df.collect()))
+    want = key(plan(doubles, *lookup, AS_OF))
+    for frame in (doubles.repartition(7), doubles.orderBy(F.desc("cost")).coalesce(1)):
+        assert key(plan(frame, *lookup, AS_OF)) == want
+    monkeypatch.setattr(lookups, "MAX_ROWS", 1)  # the maps list is small, the others are not
+    assert key(plan(doubles, *lookup, AS_OF)) == want
+    monkeypatch.setattr(lookups, "MAX_ROWS", 0)
+    assert key(plan(doubles, *lookup, AS_OF)) == want
+
+
+def test_a_margin_that_is_zero_in_decimals_is_zero(spark, monkeypatch):
+    """Three lines of one group without project, with margins that sum to nothing, but not in floating numbers."""
+    rows = [{"project": None, "sku_id": k, "credits": [("RESELLER_MARGIN", m)]} for k, m in (("K1", -0.9), ("K3", 0.1), ("K1", 0.8))]
+    df = export(spark, *rows)
+    df = df.withColumns({"cost": F.col("cost").cast("double"), "customer_cost": F.col("customer_cost").cast("double"),
+                         "credits": F.col("credits").cast("array<struct<type:string,amount:double>>")})
+    for most in (10, 0):
+        monkeypatch.setattr(lookups, "MAX_ROWS", most)
+        (got,) = costs.gcp_costs(df, skus(spark), maps(spark), payers(spark), AS_OF).collect()
+        assert (got.cost_gcp, got.cost_base_thirdparty, got.reseller_margin_gcp) == (0, 30, 0)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import csv
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from tallybook.sources import schemas
 from tallybook.sources.tables import (
     Tables,
     check_required,
+    clear_old,
     empty,
     literal,
     publish,
@@ -96,6 +99,59 @@ def test_purge_by_year_and_month(spark, name, root):
     assert spark.table(name).count() == 4
 
 
+def test_text_partitions_stay_text_and_a_purge_removes_their_files(spark, name, root):
+    rows = spark.createDataFrame(
+        [(1, "2025", "01"), (2, "2025", "02"), (3, "2024", "01"), (4, None, "01")], "amount int, Anyo__c string, Mes__c string"
+    )
+    publish(rows, name, root=root, partition_by=["Anyo__c", "Mes__c"])
+    assert dict(spark.table(name).dtypes) == {"amount": "int", "Anyo__c": "string", "Mes__c": "string"}
+    jobs.purge_month(spark, "2025", "01", monthly=[], workspace=name, root=root)
+    assert {r.amount for r in spark.table(name).collect()} == {2, 3, 4}
+    spark.catalog.recoverPartitions(name)
+    assert {r.amount for r in spark.table(name).collect()} == {2, 3, 4}
+    jobs.purge_month(spark, "2025", "03", monthly=[], workspace=name, root=root)
+    assert spark.table(name).count() == 3
+
+
+def test_purge_keeps_types_of_a_table_partitioned_otherwise(spark, name, root):
+    spark.sql(f"CREATE TABLE {name} (amount INT NOT NULL COMMENT 'how much', Anyo__c STRING, Mes__c STRING) USING parquet PARTITIONED BY (Mes__c)")
+    spark.sql(f"INSERT INTO {name} VALUES (1, '2025', '01'), (2, '2025', '02')")
+    jobs.purge_month(spark, "2025", "01", monthly=[], workspace=name, root=root)
+    assert values(spark, name) == [(2, "2025", "02")]
+    (column,) = [c for c in spark.catalog.listColumns(name) if c.name == "amount"]
+    assert dict(spark.table(name).dtypes)["Mes__c"] == "string" and column.description == "how much"
+
+
+def test_stored_lookups_keep_comments_and_refuse_missing_values(spark, name, root):
+    for entries in ({"P1": "a"}, {"P1": "b"}):
+        jobs.load_lookup(spark, entries, schemas.PAYER_ACCOUNTS, name, root=root)
+        columns = {c.name: c for c in spark.catalog.listColumns(name)}
+        for field in schemas.PAYER_ACCOUNTS.fields:
+            assert (columns[field.name].description or None) == field.metadata.get("comment")
+    bad = spark.createDataFrame([(None, "x")], "payer_billing_account_id string, account_name string")
+    with pytest.raises(Exception, match="must not be NULL"):
+        publish(bad, name, root=root, schema=schemas.PAYER_ACCOUNTS)
+    assert values(spark, name) == [("P1", "b")]
+
+
+def test_permanent_tables_lie_in_the_warehouse_and_old_folders_can_go(spark, name, root):
+    publish(spark.range(2).toDF("x"), name)
+    place = [r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r.col_name == "Location"][0]
+    assert "spark-warehouse" in place and shared_folder(spark) not in place
+    publish(spark.range(3).toDF("x"), name)
+    publish(spark.range(4).toDF("x"), name)
+    assert clear_old(spark, name) == 2 and clear_old(spark, name) == 0
+    assert spark.table(name).count() == 4
+
+
+def test_catalog_reads_give_the_declared_columns(spark, name):
+    spark.createDataFrame([(1, "n", "K")], "extra int, sku_name string, sku_id string").write.saveAsTable(name)
+    assert Tables(spark, {"sku_third_party": name}).read("sku_third_party").collect() == [("K",)]
+    spark.sql(f"DROP TABLE {name}")
+    spark.createDataFrame([(7,)], "sku int").write.saveAsTable(name)
+    assert Tables(spark, {"maps_services": name}).read("maps_services").collect() == [("7",)]
+
+
 @pytest.mark.parametrize("year, month", [("25", "01"), ("2025", "1"), ("2025", "13"), ("2025", "x1")])
 def test_purge_rejects_malformed_months(spark, year, month):
     with pytest.raises(ValueError):
@@ -110,6 +166,22 @@ def test_sheet_skips_one_header_row_and_keeps_text(spark, root):
     assert tuple(row) == ("K1", "007", None, "S", "a, b", "x")
 
 
+def test_sheet_with_quotes_line_breaks_and_backslashes(spark, root):
+    rows = [["K1", '5" screen, x', "two\nlines", "ends in \\", "", 'a "b" c'], ["K2", "\\", '"', ",", "é", "\\n"]]
+    with open(f"{root}/sheet.csv", "w", newline="") as f:
+        writer = csv.writer(f)
+        writer.writerows([["h"] * 6, *rows])
+    got = read_sheet_csv(spark, f"{root}/sheet.csv", schemas.WORKSPACE_SKUS).collect()
+    assert [[v or "" for v in r] for r in got] == rows
+
+
+def test_a_malformed_sheet_fails(spark, root):
+    with open(f"{root}/sheet.csv", "w") as f:
+        f.write("a,b,c,d,e,f\nK1,x,y\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_sheet_csv(spark, f"{root}/sheet.csv", schemas.WORKSPACE_SKUS).collect()
+
+
 def test_empty_relation_has_the_declared_columns(spark):
     for schema in schemas.TABLES.values():
         df = empty(spark, schema)

@@ -9,11 +9,11 @@ from conftest import SF
 from fixture import queries
 from fixture import tables as t
 from tallybook.operators import lookups
-from tallybook.plans import costs
-from tallybook.plans.views import build_views, register_views
+from tallybook.plans import costs, workspace
+from tallybook.plans.views import VIEWS, build_views, register_views, unregister_views
 from tallybook.sources import schemas
-from tallybook.sources.tables import Tables, read_export, store_export
-from builders import MONEY, same_rows
+from tallybook.sources.tables import Tables, publish, read_export, refresh, store_export
+from builders import AS_OF, MONEY, export, maps, payers, same_rows, skus
 
 
 @pytest.fixture(scope="module")
@@ -117,5 +117,65 @@ def test_views_by_name(spark, stored, tmp_path):
     direct = costs.gcp_costs(t.export(spark, SF), *(small[n] for n in ("sku_third_party", "maps_services", "payer_billing_accounts")), t.AS_OF)
     assert same_rows(spark.table("billing_gcp"), direct)
     assert set(build_views(tables, t.AS_OF)) == set(names)
-    for name in names:
-        spark.catalog.dropTempView(name)
+    assert names == VIEWS
+    unregister_views(tables)
+    assert not any(spark.catalog.tableExists(name) for name in names)
+
+
+def test_views_follow_their_tables(spark, tmp_path):
+    """A reloaded lookup and an export that has grown show without registering again; no broadcast is forced."""
+    folder, place = str(tmp_path / "export"), str(tmp_path / "tables")
+    store_export(export(spark, {"cost": 5}), folder, table="grown_export")
+    lookups_ = {"payer_billing_accounts": payers(spark, ("P1", "old")), "sku_third_party": skus(spark), "maps_services": maps(spark)}
+    for name, df in lookups_.items():
+        publish(df, f"v_{name}", root=place)
+    other = {n: str(tmp_path / n) for n in ("workspace_sku_sf", "billing_accounts", "currency_symbols", "importes_lecturas_temp", "importes_lecturas_by_project", "importes_lecturas_anuales")}
+    for name, path in other.items():
+        spark.createDataFrame([], schemas.TABLES[name]).write.parquet(path)
+    tables = Tables(spark, {**other, **{n: f"v_{n}" for n in lookups_}, "reseller_billing_detailed_export_v1": "grown_export"}, money=MONEY)
+    register_views(tables, AS_OF)
+    try:
+        shown = lambda: [(r.account, int(r.cost_gcp)) for r in spark.sql("SELECT account, cost_gcp FROM billing_gcp").collect()]
+        assert shown() == [("old", 5)]
+        publish(payers(spark, ("P1", "new")), "v_payer_billing_accounts", root=place)
+        assert shown() == [("new", 5)]
+        store_export(export(spark, {"cost": 7}), folder, mode="append", table="grown_export")
+        assert shown() == [("new", 12)]
+        store_export(export(spark, {"cost": 1}), folder, mode="months", table="grown_export")
+        assert shown() == [("new", 1)]
+        export(spark, {"cost": 2}).withColumn("export_month", F.trunc("export_time", "month")).write.mode("append").partitionBy("export_month").parquet(folder)
+        refresh(spark)
+        assert shown() == [("new", 3)]
+        assert "ResolvedHint" not in spark.table("billing_gcp")._jdf.queryExecution().analyzed().toString()
+    finally:
+        unregister_views(tables)
+        for name in ("grown_export", *(f"v_{n}" for n in lookups_)):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_catalog_export_lists_the_window_only(spark, stored, tmp_path):
+    store_export(t.export(spark, SF), str(tmp_path / "export"), table="listed_export")
+    try:
+        df = costs.gmp_costs(read_export(spark, "listed_export", MONEY), t.maps_services(spark), t.payer_accounts(spark), t.AS_OF)
+        scan = df._jdf.queryExecution().sparkPlan().toString()
+        assert "CatalogFileIndex" in scan or "PartitionFilters: [isnotnull(export_month" in scan
+        whole = spark.table("listed_export").count()
+        window = spark.table("listed_export").filter("export_month >= DATE '1998-09-01'")
+        assert 0 < window.count() < whole and same_rows(df, costs.gmp_costs(t.export(spark, SF), t.maps_services(spark), t.payer_accounts(spark), t.AS_OF))
+    finally:
+        spark.sql("DROP TABLE listed_export")
+
+
+@pytest.mark.parametrize("stage, scans", [(None, 3), (workspace.written_once, 0)])
+def test_scans_of_the_licence_view(spark, stored, stage, scans):
+    """As users get it: three scans without a stage, none but the stage's own with one."""
+    df = workspace.workspace_charges(read_export(spark, stored, MONEY), t.workspace_skus(spark), t.AS_OF, stage=stage)
+    export_scans = plan_of(df).count("PartitionFilters: [isnotnull(export_month")
+    assert export_scans == scans
+
+
+def test_order_of_the_invoice_and_the_fees(spark, views):
+    months = [r.invoice_month for r in views["reseller_invoice"](spark, SF).collect()]
+    assert len(months) > 20 and months == sorted(months, key=lambda m: m or "", reverse=True)
+    months = [r.invoice_month for r in views["support_fee"](spark, SF).collect()]
+    assert len(months) > 5 and months == sorted(months, key=lambda m: m or "")

@@ -9,12 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from builders import AS_OF, dicts, export, licences, maps, one, payers, plain, skus
-from tallybook.functions import credits as credit_functions
 from tallybook.functions.dates import statement_date, window_start
-from tallybook.functions.labels import attribute, attributes_json, label_value
+from tallybook.functions.labels import attribute, label_name, label_value
 from tallybook.functions.money import in_euros, numeric, numeric_text
 from tallybook.functions.services import is_maps_service
 from tallybook.operators.attributes import with_attributes
+from tallybook.operators.charges import charge_lines, flat
 from tallybook.operators.filters import account_format, delete_where, rolling_months
 from tallybook.plans import accounts, costs, invoice, workspace
 
@@ -130,17 +130,29 @@ def test_missing_and_empty_credits_keep_the_cost(spark):
     assert (got["cost_gcp"], got["credits_gcp"], got["reseller_margin_gcp"]) == (30, 0, -1)
 
 
-def test_row_credit_sums(spark):
+def test_line_credit_sums(spark):
     df = export(spark, {"credits": None}, {"credits": []}, {"credits": [("RESELLER_MARGIN", -1)]},
                 {"credits": [(None, None)]}, {"credits": [("A", 1), (None, 2), ("RESELLER_MARGIN", 4)]})
-    total = credit_functions.row_total
-    got = df.select(
-        total(F.col("credits")), total(F.col("credits"), credit_functions.is_margin),
-        total(F.col("credits"), credit_functions.is_cost_credit),
-    ).collect()
-    assert [tuple(plain(v) for v in r) for r in got] == [
-        (None, None, None), (None, None, None), (-1, -1, None), (None, None, None), (7, 4, 3)
-    ]
+    lines = charge_lines(flat(df.withColumn("project", F.struct(F.monotonically_increasing_id().cast("string").alias("id")))))
+    got = lines.groupBy("project_id").agg(F.sum("all_credits"), F.sum("margin"), F.sum("credits"), F.sum("cost")).collect()
+    assert sorted((tuple(plain(v) for v in r[1:4]) for r in got), key=str) == sorted(
+        [(None, None, None), (None, None, None), (-1, -1, None), (None, None, None), (7, 4, 3)], key=str
+    )
+    assert {plain(r[4]) for r in got} == {10}
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(18,9)"])
+def test_small_credits_are_not_cut(spark, kind):
+    df = export(spark, {"credits": [("A", 1), ("A", 1)]})
+    df = df.withColumn("credits", F.expr(f"transform(credits, (c, i) -> named_struct('type', c.type, 'amount', CAST(0.00003 + i * 0.00001 AS {kind})))"))
+    assert plain(charge_lines(flat(df)).agg(F.sum("all_credits").cast("double")).first()[0]) == 0.00007
+
+
+def attributes_json(labels):
+    """The labels as object text, names shortened; what ``with_attributes`` must give."""
+    quote = F.lit('"')
+    entries = F.transform(labels, lambda kv: F.concat(quote, label_name(kv["key"]), F.lit('": "'), kv["value"], quote))
+    return F.concat(F.lit("{"), F.coalesce(F.array_join(entries, ", "), F.lit("")), F.lit("}"))
 
 
 def test_window_edges(spark):
@@ -325,6 +337,15 @@ def test_numeric_text(spark, value, text):
     assert df.select(numeric_text(numeric(F.col("v")))).first()[0] == text
 
 
+def test_numeric_text_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = spark.createDataFrame([("0",), ("0.0000001",), (None,)], "v string")
+        assert [r[0] for r in df.select(numeric_text(numeric(F.col("v")))).collect()] == ["0", "0.0000001", None]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_quotient_keeps_nine_decimals(spark):
     df = spark.sql("SELECT CAST(1.5 AS DECIMAL(24,9)) a, CAST(7 AS DECIMAL(24,9)) b")
     assert str(df.select(in_euros(F.col("a"), F.col("b"))).first()[0]) == "0.214285714"
