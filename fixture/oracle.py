@@ -455,6 +455,9 @@ def composite() -> dict[str, str]:
         "reseller_view": with_(
             [*_LICENCE_TABLES, SEATS, COMMITTED], licence_output("seats") + " UNION ALL " + licence_output("committed")
         ),
+        "reseller_view_unstaged": with_(
+            [*_LICENCE_TABLES, SEATS, COMMITTED], licence_output("seats") + " UNION ALL " + licence_output("committed")
+        ),
         "reseller_invoice": with_([EXPORT, PAYERS, INVOICE_LINES], _INVOICE),
         "cost_by_account": with_(
             [*_MONTHLY_TABLES, f"\nmonthly AS ({_MONTHLY})", CONTRACTS, f"\nby_account AS ({_BY_ACCOUNT})"],
@@ -758,4 +761,5 @@ per_row AS (SELECT invoice.month AS invoice_month, transaction_type,
             FROM orders WHERE o_orderkey % 40 = 0 OR strftime(o_orderdate, '%Y%m') <> '199810' GROUP BY ALL""",
     }
     twins["seed_payer_accounts"] = twins["j_payer_label"]
+    twins["purge_month_partitioned"] = twins["purge_month"]
     return twins

@@ -102,6 +102,7 @@ def view_queries(export: Query) -> dict[str, Query]:
         "reseller_view": lambda s, d: workspace.workspace_charges(
             export(s, d), t.workspace_skus(s), t.AS_OF, stage=workspace.written_once
         ),
+        "reseller_view_unstaged": lambda s, d: workspace.workspace_charges(export(s, d), t.workspace_skus(s), t.AS_OF),
         "reseller_invoice": lambda s, d: invoice.reseller_invoice(export(s, d), t.payer_accounts(s)),
         "cost_by_account": lambda s, d: accounts.cost_by_account(monthly(s, d), t.contracts(s)),
         "cost_by_project": lambda s, d: accounts.cost_by_project(by_project(s, d), t.contracts(s)),
@@ -403,8 +404,8 @@ def seed_currency_symbols(s: SparkSession, d: str) -> DataFrame:
     return result
 
 
-def purge_month(s: SparkSession, d: str) -> DataFrame:
-    """Publish the four statement tables, purge October 1998 and count what is left."""
+def purge_month(s: SparkSession, d: str, partitioned: bool = False) -> DataFrame:
+    """Publish the four statement tables (partitioned by the month, if asked), purge October 1998 and count the rest."""
     tag = uuid.uuid4().hex
     sources = {
         "temp": t.statements_flexible(s, d),
@@ -414,7 +415,8 @@ def purge_month(s: SparkSession, d: str) -> DataFrame:
     }
     names = {label: f"{label}_{tag}" for label in sources}
     for label, rows in sources.items():
-        publish(rows, names[label])
+        month = ["Anyo__c", "Mes__c"] if label == "workspace" else ["invoice_month"]
+        publish(rows, names[label], partition_by=month if partitioned else ())
     monthly = [names[label] for label in ("temp", "by_project", "annual")]
     jobs.purge_month(s, "1998", "10", monthly=monthly, workspace=names["workspace"])
     counts = []
@@ -425,8 +427,11 @@ def purge_month(s: SparkSession, d: str) -> DataFrame:
             .groupBy(F.lit(label).alias("source"), month.alias("month"))
             .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("Cargo_Google__c").cast("decimal(18,5)")).alias("charge"))
         )
+    result, folder = reduce(DataFrame.unionByName, counts), fresh_folder(s, "purged")
+    result.write.parquet(folder)
+    for name in names.values():
         s.sql(f"DROP TABLE {name}")
-    return reduce(DataFrame.unionByName, counts)
+    return s.read.schema(result.schema).parquet(folder)
 
 
 def single() -> dict[str, Query]:
@@ -490,5 +495,6 @@ def single() -> dict[str, Query]:
         "seed_payer_accounts": seed_payer_accounts,
         "seed_currency_symbols": seed_currency_symbols,
         "purge_month": purge_month,
+        "purge_month_partitioned": lambda s, d: purge_month(s, d, partitioned=True),
     }
     return {name: _registered(build) for name, build in operators.items()}
