@@ -23,14 +23,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallybook.llm.common import spread, stored
+from tallybook.llm.common import stored
 
 SIZE = 2048
 END = 1
 #: What Python's split() takes for white space and the tokenizer doesn't.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: The pieces of a length are ranked in groups of about this many.
-RANKED = 100_000
+RANKED = 1000
 
 
 class WordTokens:
@@ -185,10 +185,12 @@ def slots(patterns: list[Pattern]) -> dict[int, np.ndarray]:
 def ranked(found: DataFrame, each: int = RANKED) -> DataFrame:
     """``found`` with ``rank``, from 0 among the pieces of the same length.
 
-    A length is ranked in salted groups whose counts are then added up, so one that holds most pieces is spread.
+    A length is ranked in salted groups of about ``each`` pieces, whose counts are then added up, so one that holds
+    most pieces is spread. The number of salts follows from the histogram, which has at most a row per length.
     """
-    salts = spread(found.count(), each)
-    salted = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)))
+    salts = found.groupBy("length").agg(F.ceil(F.count("*") / each).alias("salts"))
+    salted = found.join(F.broadcast(salts), "length")
+    salted = salted.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("salts"))).drop("salts")
     counted = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = W.partitionBy("length").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)
     counted = counted.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
