@@ -25,7 +25,7 @@ PIECE = 16
 #: through a shuffle instead (an array of so many would be 16 MB).
 SHARD, MANY = 2 << 20, 20_000
 #: Texts are searched for anchors in parts of so many bytes; positions then fit into the low bits of a hash.
-PART, LOW = 8 << 20, 24
+PART, LOW = 2 << 20, 24
 ALL = -1
 
 
