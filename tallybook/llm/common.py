@@ -28,6 +28,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key() -> Column:
+    """A hash of doc_id and text, by which a row is known where doc_ids are missing or repeated."""
+    return F.xxhash64("doc_id", "text")
+
+
 def words_of(text: Column) -> Column:
     """The runs of characters that are not ASCII white space; an empty array for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{SPACE}+"), "")

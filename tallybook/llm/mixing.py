@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import SPACE, stored
+from tallybook.llm.common import SPACE, row_key, stored
 
 GOLDEN = 0.6180339887498949
 #: Slots a source has at least, if it has words enough: the schedule is off by a few slots a source.
@@ -98,14 +98,14 @@ def slots(sources: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame, **options) -> Mix:
     """Mix all rows of ``docs`` (doc_id, text, source).
 
-    documents: doc_id, source, size, source_size, target, taken (words of the row the mix takes, repeats counted) and
+    documents: doc_id, row_key, source, size, source_size, target, taken (words of the row the mix takes, repeats counted) and
     copies (0 to ``limit``: how often the block with the row's first word is taken, for mixes of whole documents).
     Null texts have size 0 and take nothing, null sources come last, a null doc_id is shuffled like any other value;
     repeated rows are separate documents. Texts are read once, for their sizes.
     """
     limit = options.get("limit", 2)
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    sizes = stored(docs.select("doc_id", F.col("source"), size_of(F.col("text")).alias("size"), key.alias("key")), "mixing-sizes")
+    sizes = stored(docs.select("doc_id", F.col("source"), row_key().alias("row_key"), size_of(F.col("text")).alias("size"), key.alias("key")), "mixing-sizes")
     block = F.least(F.lit(MOST_BLOCK), F.greatest(F.lit(1), F.floor(F.col("target") / LEAST_SLOTS)))
     sources = (
         targets(sizes, **options).withColumn("block", block.cast("long"))
@@ -144,6 +144,6 @@ def mixed(docs: DataFrame, **options) -> Mix:
     zero = F.lit(0).cast("long")
     documents = documents.select(
         "doc_id", "source", "size", "source_size", "target",
-        F.coalesce("taken", zero).alias("taken"), F.coalesce("copies", zero).cast("int").alias("copies"),
+        F.coalesce("taken", zero).alias("taken"), F.coalesce("copies", zero).cast("int").alias("copies"), "row_key",
     )
     return Mix(sources, documents, schedule)

@@ -14,7 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import NOT_SPACE, stored, words_of
+from tallybook.llm.common import NOT_SPACE, row_key, stored, words_of
 
 WINDOW = 8
 #: Bounds of the bins of each statistic a rule may test; with them the learner sees at most 9 ** 6 cells of counts.
@@ -46,7 +46,7 @@ class Condition:
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and the counts ``COUNTS`` (all long) of every whole text; a null text counts as empty.
+    """doc_id, row_key and the counts ``COUNTS`` (all long) of every whole text; a null text counts as empty.
 
     Repeated 8-word windows are found within the row: each window's 64-bit hash, cut to make room for its position,
     is sorted as a plain long, and neighbours are compared by their full hashes. The cost is that of one sort of
@@ -54,10 +54,11 @@ def statistics(docs: DataFrame) -> DataFrame:
     rows give repeated results.
     """
     text = F.coalesce("text", F.lit(""))
-    step = docs.select("doc_id", text.alias("text"))
-    step = step.select("doc_id", "text", words_of(F.col("text")).alias("words"), F.split("text", "\n", -1).alias("lines"))
+    step = docs.select("doc_id", row_key().alias("row_key"), text.alias("text"))
+    step = step.select("doc_id", "row_key", "text", words_of(F.col("text")).alias("words"), F.split("text", "\n", -1).alias("lines"))
     step = step.select(
         "doc_id",
+        "row_key",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
@@ -67,7 +68,7 @@ def statistics(docs: DataFrame) -> DataFrame:
         F.transform("words", lambda word: F.xxhash64(word)).alias("hashes"),
     )
     step = step.select(
-        *["doc_id", "n_words", "word_chars", "n_symbols", "n_upper", "n_lines"],
+        *["doc_id", "row_key", "n_words", "word_chars", "n_symbols", "n_upper", "n_lines"],
         (F.size("full") - F.size(F.array_distinct("full"))).cast("long").alias("n_dup_lines"),
         F.when(
             F.col("n_words") >= WINDOW,
@@ -93,7 +94,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     step = step.select(*[c for c in step.columns if c not in ("sorted", "full_hash", "room")], F.sort_array(twice).alias("at"))
     gaps = F.transform("at", lambda v, k: F.least(F.lit(WINDOW).cast("long"), F.coalesce(F.get("at", k + 1) - v, F.lit(WINDOW).cast("long"))))
     return step.select(
-        "doc_id", *[c for c in COUNTS if c != "n_repeat_words"],
+        "doc_id", "row_key", *[c for c in COUNTS if c != "n_repeat_words"],
         F.aggregate(gaps, F.lit(0).cast("long"), lambda total, gap: total + gap).alias("n_repeat_words"),
     )
 
@@ -209,5 +210,5 @@ def judged(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     return (
         rates(stats).withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & verdict(rules))
-        .select("doc_id", *COUNTS[:5], "base_failed", "kept", "n_upper", "n_lines")
+        .select("doc_id", *COUNTS[:5], "base_failed", "kept", "n_upper", "n_lines", "row_key")
     )

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import components, stored, whole_groups
+from tallybook.llm.common import components, row_key, stored, whole_groups
 
 BITS = 64
 #: Buckets with more fingerprints are cut once more, by two quarters of their remaining 32 bits; then 16 bits are
@@ -46,15 +46,16 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, print long) of every whole text."""
+    """(doc_id, row_key long, print long) of every whole text; row_key is a hash of doc_id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "print"])
+            columns = [batch.column("doc_id"), batch.column("row_key"), pa.array(prints.view(np.int64))]
+            yield pa.record_batch(columns, ["doc_id", "row_key", "print"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, print long")
+    return docs.select("doc_id", "text", row_key().alias("row_key")).mapInArrow(run, f"doc_id {kind}, row_key long, print long")
 
 
 def links(prints: np.ndarray, buckets: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +158,7 @@ def near_prints(distinct: DataFrame, radius: int = 2, large: int = LARGE) -> Dat
 
 
 def groups(docs: DataFrame, *, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """doc_id, print (long), component_id of every row of ``docs`` (doc_id, text).
+    """doc_id, row_key, print (long), component_id of every row of ``docs`` (doc_id, text).
 
     component_id is the smallest doc_id in the row's group, null doc_ids aside (null if it has no other). Null and
     empty texts share fingerprint 0. Copies and repeated rows share a fingerprint and are compared once. Columns
@@ -170,4 +171,4 @@ def groups(docs: DataFrame, *, shingle: int = 3, radius: int = 2) -> DataFrame:
     rooted = classes.join(found, classes["print"] == found["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     known = rooted.join(smallest, "root").select("print", "component_id")
-    return prints.join(known, "print").select("doc_id", "print", "component_id")
+    return prints.join(known, "print").select("doc_id", "row_key", "print", "component_id")

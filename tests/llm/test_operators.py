@@ -362,4 +362,14 @@ def test_pipeline_stages_on_odd_rows(spark, odd, empty):
             rows = out.collect()
             docs = spark.createDataFrame(rows, out.schema)
     near = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, odd, SF)
-    assert sorted(r.doc_id for r in near.collect() if r.doc_id is not None) == [1, 4, 6, 8]
+    assert sorted((r.doc_id for r in near.collect()), key=str) == [1, 4, 6, 8, None]
+    good = " ".join(f"word{i}" for i in range(30))
+    mixed = spark.createDataFrame([(None, good), (None, "too short"), (2, good), (2, "short"), (5, good), (5, good)], "doc_id long, text string")
+    kept = corpus_pipeline.quality(spark, mixed, SF)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(2, good), (5, good), (5, good), (None, good)], key=str)
+    twice = corpus_pipeline.mix(spark, kept.withColumn("source", F.lit("a")), SF).collect()
+    assert 4 <= len(twice) <= 8 and {len(r) for r in twice} == {3}
+    none = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (None, "e f g h"), (3, "i j k"), (3, "l m n o p")], "doc_id long, text string")
+    kept = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, none, SF).collect()
+    assert sorted(r.text for r in kept if r.doc_id is None) == ["a b c d", "e f g h"]
+    assert sum(r.doc_id == 3 for r in kept) == 1  # rows that share an id are one document
