@@ -84,13 +84,12 @@ class Model:
 
     def logit(self, values: np.ndarray) -> tuple[float, int]:
         """The highest window's logit, and where that window starts."""
-        starts = window_starts(len(values))
-        if not len(starts):
+        if not len(values):
             return self.bias, 0
         total = np.r_[0.0, np.cumsum(values)]
-        means = (total[np.minimum(starts + WINDOW, len(values))] - total[starts]) / WINDOW
+        means = (total[WINDOW:] - total[:-WINDOW] if len(values) >= WINDOW else total[-1:]) / WINDOW
         best = int(means.argmax())
-        return self.bias + float(means[best]), int(starts[best])
+        return self.bias + float(means[best]), best
 
 
 class Trainer:
