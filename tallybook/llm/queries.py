@@ -1,4 +1,4 @@
-"""The registered queries, op1 to op10: each applies its operator to a whole table with production parameters."""
+"""The registered queries, op1 to op13: each applies its operator to a whole table with production parameters."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import hash_forest, license_scan, line_dedup, mixing, packing, quality_rules, simhash, suffix_dedup, toxicity, warc
+from tallybook.llm import hash_forest, license_scan, line_dedup, mixing, packing, quality_rules, simhash, spelling, suffix_dedup, token_align, toxicity, warc
 from tallybook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.scored(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Query]:
     return dict(sorted(((n, q) for n, q in globals().items() if n.startswith("op")), key=lambda nq: int(nq[0][2:].split("_")[0])))
 
