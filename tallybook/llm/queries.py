@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import hash_forest, license_scan, line_dedup, mixing, packing, quality_rules, simhash, spelling, suffix_dedup, token_align, toxicity, warc
+from tallybook.llm import hash_forest, license_scan, line_dedup, mixing, packing, quality_rules, secrets, simhash, spelling, suffix_dedup, token_align, toxicity, warc
 from tallybook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,18 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: ~s["added"])
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    digest = F.sha2(secrets.listed(base), 256).alias("base_sha256")
+    return found.select("doc_id", *map(number, secrets.KINDS), digest, secrets.listed(spans).alias("spans"))
+
+
 def queries() -> dict[str, Query]:
     return dict(sorted(((n, q) for n, q in globals().items() if n.startswith("op")), key=lambda nq: int(nq[0][2:].split("_")[0])))
 
