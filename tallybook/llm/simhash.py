@@ -158,11 +158,11 @@ def near_prints(distinct: DataFrame, radius: int = 2, large: int = LARGE) -> Dat
 
 
 def groups(docs: DataFrame, *, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """doc_id, row_key, print (long), component_id of every row of ``docs`` (doc_id, text).
+    """doc_id, row_key, print (long), component_id, root (a print that names the group) of every row of ``docs`` (doc_id, text).
 
     component_id is the smallest doc_id in the row's group, null doc_ids aside (null if it has no other). Null and
     empty texts share fingerprint 0. Copies and repeated rows share a fingerprint and are compared once. Columns
-    other than doc_id and text are ignored.
+    other than doc_id and text are ignored. An empty table gives no rows; texts of any length are hashed whole.
     """
     prints = stored(fingerprints(docs, shingle), "simhash-prints")
     classes = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
@@ -170,5 +170,5 @@ def groups(docs: DataFrame, *, shingle: int = 3, radius: int = 2) -> DataFrame:
     found = components(near_prints(classes.select("print"), radius))
     rooted = classes.join(found, classes["print"] == found["node"], "left").select("print", "least", F.coalesce("root", "print").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = rooted.join(smallest, "root").select("print", "component_id")
-    return prints.join(known, "print").select("doc_id", "row_key", "print", "component_id")
+    known = rooted.join(smallest, "root").select("print", "component_id", "root")
+    return prints.join(known, "print").select("doc_id", "row_key", "print", "component_id", "root")

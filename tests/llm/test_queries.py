@@ -33,7 +33,7 @@ def docs():
 
 def test_all_are_registered():
     names = entry.queries()
-    assert [n.split("_")[0] for n in registered.queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in registered.queries()] == [f"op{i}" for i in range(1, 14)]
     assert set(registered.queries()) | {"pipeline"} <= set(names)
 
 
