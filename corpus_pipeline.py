@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallybook.llm import line_dedup, mixing, near_text, packing, quality_rules
+from tallybook.llm import line_dedup, mixing, packing, quality_rules, simhash
 from tallybook.llm.common import row_key, stored, table
 
 
@@ -28,11 +28,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of texts whose five-word shingles have a Jaccard similarity of 0.8 or more to
-    another's: the one with the smallest doc_id, and of rows that share it, or of a group without ids, the one with
-    the smallest hash."""
+    """Keep one document of each group of texts whose fingerprints of three-word shingles differ from another's in two
+    bits at most: the one with the smallest doc_id, and of rows that share it, or of a group without ids, the one with
+    the smallest hash. Null and empty texts are one group. An empty table stays empty; all columns are kept."""
     group = W.partitionBy("component_id", F.when(F.col("component_id").isNull(), F.col("root"))).orderBy("row_key")
-    found = near_text.groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = simhash.groups(docs, shingle=3, radius=2).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = found.withColumn("n", F.row_number().over(group)).where("n = 1").select(F.col("row_key").alias("__key"))
     # the rows of one key lie together after the join, so dropping repeated ones needs no second shuffle
     keyed = docs.withColumn("__key", row_key())
