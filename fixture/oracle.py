@@ -433,11 +433,18 @@ def _eighth(view: str) -> str:
     return f"SELECT * REPLACE ({amounts}) FROM ({view}) AS v"
 
 
+def _tiny(view: str) -> str:
+    """All amounts of a cost view by ten thousand million, as the decimal numbers that they are."""
+    tiny = "CAST(CAST({0} AS DECIMAL(20,4)) * CAST('0.0000000001' AS DECIMAL(10,10)) AS DOUBLE) AS {0}"
+    return f"SELECT * REPLACE ({', '.join(map(tiny.format, [*_BASE, *_THIRD, *_MARKET]))}) FROM ({view}) AS v"
+
+
 def composite() -> dict[str, str]:
     """Twins of the views."""
     return {
         "billing_gcp": with_([*COST_TABLES, detail("d", CLOUD_KEPT)], split("d")),
         "billing_gcp_double": _eighth(with_([*COST_TABLES, detail("d", CLOUD_KEPT)], split("d"))),
+        "billing_gcp_tiny": _tiny(with_([*COST_TABLES, detail("d", CLOUD_KEPT)], split("d"))),
         "billing_gcp_by_project": with_([*COST_TABLES, detail("d")], split("d", project=True, market=False)),
         "billing_gmp": with_(COST_TABLES[:3] + [CHARGES], maps_costs()),
         "billing_gmp_by_project": with_([*COST_TABLES, detail("d")], split("d", project=True, market=False)),

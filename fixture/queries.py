@@ -88,6 +88,9 @@ def view_queries(export: Query) -> dict[str, Query]:
         "billing_gcp_double": lambda s, d: costs.gcp_costs(
             t.in_doubles(export(s, d)), t.sku_third_party(s), t.maps_services(s), t.payer_accounts(s), t.AS_OF
         ),
+        "billing_gcp_tiny": lambda s, d: costs.gcp_costs(
+            t.in_parts_of_cents(export(s, d)), t.sku_third_party(s), t.maps_services(s), t.payer_accounts(s), t.AS_OF
+        ),
         "billing_gcp_by_project": cloud_project,
         "billing_gmp": maps,
         "billing_gmp_by_project": cost(costs.gmp_costs_by_project),

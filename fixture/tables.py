@@ -215,6 +215,16 @@ def in_doubles(export: DataFrame) -> DataFrame:
     })
 
 
+def in_parts_of_cents(export: DataFrame) -> DataFrame:
+    """The export with amounts as doubles, each a part in ten thousand million of the others."""
+    tiny = lambda amount: (amount.cast("decimal(18,4)") * F.lit("1e-10").cast("decimal(10,10)")).cast("double")
+    return export.withColumns({
+        "cost": tiny(F.col("cost")),
+        "customer_cost": tiny(F.col("customer_cost")),
+        "credits": F.transform("credits", lambda c: F.struct(c["type"].alias("type"), tiny(c["amount"]).alias("amount"))),
+    })
+
+
 def contracts(spark: SparkSession) -> DataFrame:
     terms = [(0, "Flexible"), (0, "Anual"), (1, "Flexible"), (2, "Anual"), (3, "Flexible"), (4, "Anual"), (5, "Flexible")]
     rows = [

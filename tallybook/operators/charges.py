@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType
 
 from ..functions.credits import is_cost_credit, is_invoice_credit, is_margin
+from .exact import exact, is_split, total
 
 DIMENSIONS = {
     "billing_account_id": "billing_account_id",
@@ -23,8 +23,6 @@ DIMENSIONS = {
     "seller_name": "seller_name",
 }
 
-# Amounts stored as floating numbers are added in this type, so that no order of addition changes a sum.
-EXACT = DecimalType(28, 9)
 MEASURES = ["cost", "customer_cost", "credits", "invoice_credits", "all_credits", "margin"]
 
 
@@ -35,18 +33,6 @@ def flat(export: DataFrame) -> DataFrame:
     )
 
 
-def exact(amount: Column, kind: DataType) -> Column:
-    """The amount in a type whose sums are exact; ``kind`` is its own type."""
-    return amount.cast(EXACT) if isinstance(kind, (DoubleType, FloatType)) else amount
-
-
-def as_stored(df: DataFrame, names: Sequence[str], kind: DataType) -> DataFrame:
-    """Exact sums in the type of the stored amounts."""
-    if not isinstance(kind, (DoubleType, FloatType)):
-        return df
-    return df.withColumns({name: F.col(name).cast(kind) for name in names})
-
-
 def charge_lines(rows: DataFrame) -> DataFrame:
     """One line per credit, with the row's cost on the first line (and on the only line of a row without credits).
 
@@ -71,10 +57,6 @@ def charge_lines(rows: DataFrame) -> DataFrame:
     )
 
 
-def total(amount: Column | str) -> Column:
-    """Sum with zero for a group without any amount."""
-    return F.coalesce(F.sum(amount), F.lit(0))
-
-
 def sum_charges(lines: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    return lines.groupBy(*keys).agg(*[total(m).alias(m) for m in measures])
+    """Sums by ``keys``, zero for a group without any amount."""
+    return lines.groupBy(*keys).agg(*[total(m, is_split(lines.schema[m].dataType)).alias(m) for m in measures])

@@ -11,7 +11,8 @@ from pyspark.sql.types import DataType
 
 from ..functions.flags import amount_where, first_party_share, is_marketplace, is_third_party, third_party_share
 from ..functions.services import CLOUD_EXCLUDED, MAPS_EXCLUDED, is_maps_service, is_support_fee
-from ..operators.charges import as_stored, charge_lines, exact, flat, sum_charges
+from ..operators.charges import charge_lines, flat, sum_charges
+from ..operators.exact import as_stored, exact, is_floating, is_split, is_zero, summed, total
 from ..operators.filters import account_format, rolling_months
 from ..operators.lookups import (
     small_enough,
@@ -142,7 +143,7 @@ def split_parties(detail: DataFrame, money: DataType, *, by_project: bool = Fals
 
     The results have the type ``money`` of the stored amounts; up to here all sums are exact.
     """
-    unassigned = F.col("project_is_null") & (F.col("margin") == 0)
+    unassigned = F.col("project_is_null") & is_zero(F.col("margin"), is_split(detail.schema["margin"].dataType))
     third, market = F.col("is_third_party"), F.col("is_marketplace")
     first = first_party_share(third, market, unassigned)
     other = third_party_share(third, market, unassigned)
@@ -162,7 +163,13 @@ def split_parties(detail: DataFrame, money: DataType, *, by_project: bool = Fals
         "customer_cost_thirdparty_marketplace": (market, customer),
         "credits_thirdparty_marketplace": (market, credits),
     }
-    sums = [F.sum(amount_where(share, amount)).alias(name) for name, (share, amount) in columns.items()]
+    kinds = detail.schema
+    split = {m: is_split(kinds[m].dataType) for m in SUMS}
+    of = dict(zip(columns, ["cost", "credits", "cost", "credits", "margin", "margin", "customer_cost", "cost", "credits", "cost", "customer_cost", "credits"], strict=True))
+    sums = [
+        (total(F.when(share, amount), True) if split[of[name]] else F.sum(amount_where(share, amount))).alias(name)
+        for name, (share, amount) in columns.items()
+    ]
     sums = as_stored(detail.groupBy(*_grain(by_project)).agg(*sums), list(columns), money)
     return _ordered(sums, list(columns), by_project)
 
@@ -267,10 +274,15 @@ def _combine(maps_costs: DataFrame, cloud_costs: DataFrame, measures: list[str],
     left = _with_zeros(maps_costs.select(*keys, *BASE), measures[6:], "cost_gmp")
     both = left.unionByName(cloud_costs.select(*keys, *measures))
     money = both.schema["cost_gmp"].dataType
-    sums = both.groupBy(*keys).agg(*[F.sum(exact(F.col(m), both.schema[m].dataType)).alias(m) for m in measures])
+    sums = both.groupBy(*keys).agg(*[_exact_sum(both, m).alias(m) for m in measures])
     return _ordered(as_stored(sums, measures, money), measures, by_project)
 
 
+def _exact_sum(df: DataFrame, name: str) -> Column:
+    kind = df.schema[name].dataType
+    return summed(exact(F.col(name), kind), is_floating(kind))
+
+
 def monthly_costs_one_scan(
     export: DataFrame, skus: DataFrame, maps: DataFrame, payers: DataFrame, as_of: dt.date | None = None
 ) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.services import PROGRAM_SERVICES, SUPPORT_SKU
-from ..operators.charges import as_stored, charge_lines, flat, sum_charges, total
+from ..operators.charges import charge_lines, flat, sum_charges
+from ..operators.exact import as_stored, is_split, plus, summed, total
 from ..operators.filters import account_format, exported_since, rolling_months
 from ..operators.lookups import small_enough, with_contract, with_payer_label
 
@@ -39,15 +40,17 @@ def reseller_invoice(export: DataFrame, payers: DataFrame, *, since: dt.date | N
 
     program = F.col("is_program")
 
+    split = {m: is_split(lines.schema[m].dataType) for m in measures}
+
     def regular(name: str):
-        return total(F.when(~program, F.col(name)))
+        return total(F.when(~program, F.col(name)), split[name])
 
     groups = lines.groupBy("invoice_month", "account").agg(
         regular("cost").alias("cost"),
         regular("all_credits").alias("all_creditos"),
         regular("invoice_credits").alias("creditos"),
         regular("margin").alias("creditos_reseller"),
-        total(F.when(program & F.col("invoice_month").isNotNull(), F.col("cost"))).alias("descuento_reseller_old"),
+        total(F.when(program & F.col("invoice_month").isNotNull(), F.col("cost")), split["cost"]).alias("descuento_reseller_old"),
         regular("n").alias("n"),
     )
     shown = (
@@ -55,14 +58,14 @@ def reseller_invoice(export: DataFrame, payers: DataFrame, *, since: dt.date | N
         .select(
             "invoice_month",
             "account",
-            (F.col("cost") + F.col("creditos")).alias("consumo"),
+            plus(F.col("cost"), F.col("creditos"), split["cost"]).alias("consumo"),
             "cost",
             "all_creditos",
             "creditos",
             "creditos_reseller",
             "descuento_reseller_old",
             F.col("creditos_reseller").alias("descuento_reseller_new"),
-            (F.col("descuento_reseller_old") + F.col("creditos_reseller")).alias("descuento_reseller"),
+            plus(F.col("descuento_reseller_old"), F.col("creditos_reseller"), split["cost"]).alias("descuento_reseller"),
         )
     )
     amounts = [c for c in shown.columns if c not in ("invoice_month", "account")]
@@ -82,7 +85,7 @@ def support_fee(
     fees = sum_charges(charge_lines(flat(rows)), keys, ["cost", "margin"])
     fees = with_payer_label(with_contract(fees, contracts), payers)
     sums = fees.groupBy("billing_account_id", "contract_name", "invoice_month", "currency", "account").agg(
-        F.sum("cost").alias("cost"), F.sum("margin").alias("reseller_margin_gcp")
+        *[summed(F.col(m), is_split(fees.schema[m].dataType)).alias(shown) for m, shown in (("cost", "cost"), ("margin", "reseller_margin_gcp"))]
     )
     sums = as_stored(sums, ["cost", "reseller_margin_gcp"], export.schema["cost"].dataType)
     return sums.select(

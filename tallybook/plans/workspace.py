@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from ..functions.dates import invoice_date
-from ..operators.charges import as_stored, exact
 from ..operators.attributes import may_hold, with_attributes
+from ..operators.exact import as_stored, exact, is_floating, is_zero, shown, summed
 from ..operators.filters import rolling_months
 from ..operators.lookups import join_lookup, small_enough, with_workspace_sku
 from ..session import fresh_folder
@@ -87,6 +88,11 @@ def written_once(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+def _average(amount: Column, kind: DataType) -> Column:
+    """The mean; of floating amounts that of their exact sum, so rounding it doesn't depend on the order of rows."""
+    return shown(summed(exact(amount, kind), True)) / F.count(amount) if is_floating(kind) else F.avg(amount)
+
+
 def flexible_seats(rows: DataFrame) -> DataFrame:
     """Flexible seats summed per order; of columns that differ within an order the smallest value is shown."""
     money = rows.schema["google_charge"].dataType
@@ -97,8 +103,8 @@ def flexible_seats(rows: DataFrame) -> DataFrame:
         .withColumn("sku_sf", F.col("sku_sf_flex"))
         .groupBy(*keys)
         .agg(
-            F.sum(exact(F.col("google_charge"), money)).alias("google_charge"),
-            F.round(F.avg(F.abs("usage_amount"))).alias("usage_amount"),
+            summed(exact(F.col("google_charge"), money), is_floating(money)).alias("google_charge"),
+            F.round(_average(F.abs("usage_amount"), rows.schema["usage_amount"].dataType)).alias("usage_amount"),
             F.min("usage_unit").alias("usage_unit"),
             F.min("usage_start_time").alias("usage_start_time"),
             F.max("usage_end_time").alias("usage_end_time"),
@@ -108,7 +114,7 @@ def flexible_seats(rows: DataFrame) -> DataFrame:
             F.min("subscription_id").alias("subscription_id"),
         )
     )
-    sums = sums.withColumn("usage_type", F.lit(FLEXIBLE)).filter(F.col("google_charge") != 0)
+    sums = sums.withColumn("usage_type", F.lit(FLEXIBLE)).filter(~is_zero(F.col("google_charge"), is_floating(money)))
     return as_stored(sums, ["google_charge"], money)
 
 
