@@ -88,6 +88,20 @@ def written_once(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+def grouped_once(rows: DataFrame) -> DataFrame:
+    """The same rows out of one shuffle that all their uses share, so they are computed once without being written.
+
+    Equal rows are counted and unfolded again. All columns are keys, so no value is hot and none is pruned. The columns
+    that uses filter by, or need not null for a join, are taken from an aggregate instead of the key, which is the same:
+    such filters can't be moved below the grouping, so what is below the shuffle is alike in all uses, and adaptive
+    execution runs it once.
+    """
+    asked = ["usage_type", *SEAT_KEYS]
+    keys = rows.withColumnsRenamed({c: f"_{c}" for c in asked})
+    counted = keys.groupBy(*keys.columns).agg(*[F.max(f"_{c}").alias(c) for c in asked], F.count(F.lit(1)).cast("int").alias("_n"))
+    return counted.withColumn("_again", F.explode(F.array_repeat(F.lit(0), F.col("_n")))).select(*rows.columns)
+
+
 def _average(amount: Column, kind: DataType) -> Column:
     """The mean; of floating amounts that of their exact sum, so rounding it doesn't depend on the order of rows."""
     return shown(summed(exact(amount, kind), True)) / F.count(amount) if is_floating(kind) else F.avg(amount)
@@ -146,13 +160,12 @@ def workspace_charges(
 ) -> DataFrame:
     """Licence charges of the window.
 
-    The licence rows are used three times (seats, commitments with seat changes, commitment keys). With ``stage``, such as
-    :func:`written_once`, they are computed once and the export is scanned once; without it each use scans it.
+    The licence rows are used three times (seats, commitments with seat changes, commitment keys), from one scan of
+    the export: ``stage`` makes them available to all, by default :func:`grouped_once`; :func:`written_once` stores them
+    in the shared folder, which also saves computing them again where the view is read more than once.
     ``match_sf`` is true where the licence code is missing; users of the view rely on that.
     """
-    rows = licence_rows(export, as_of)
-    if stage is not None:
-        rows = stage(rows)
+    rows = (stage or grouped_once)(licence_rows(export, as_of))
     rows = with_workspace_sku(rows, skus, small=small_enough(skus.select("sku_id", "sku_sf_flex", "sku_sf_month"))[0])
     both = flexible_seats(rows).unionByName(
         commitment_rows(rows, measure=stage is not None).drop("sku_sf_flex", "sku_sf_month")
