@@ -232,8 +232,10 @@ def _counted(found: DataFrame) -> DataFrame:
     return found.groupBy("key", "h").agg(F.count("*").alias("n"))
 
 
-def cleaned(docs: DataFrame, *, least: int = 10) -> DataFrame:
-    """All columns of ``docs`` with ``text`` cut, and ``line_counts`` (struct n_lines, n_dropped).
+def cleaned(docs: DataFrame, *, least: int = 10, counts: str | None = "line_counts") -> DataFrame:
+    """All columns of ``docs`` with ``text`` cut, and ``counts`` (struct n_lines, n_dropped) unless that is None.
+
+    If ``docs`` has a column of that name, it stays, and the counts' name gets underscores until it is new.
 
     Lines whose key at least ``least`` documents hold go, in every document; the others stay as they are, joined by
     line feeds. Lines without a key stay. Null and empty texts are one empty line, and their text becomes empty.
@@ -246,11 +248,14 @@ def cleaned(docs: DataFrame, *, least: int = 10) -> DataFrame:
     dropped = dropped.withColumnRenamed("doc_id", "__dropped_id")
     joined = docs.join(dropped.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(dropped["__dropped_id"]), "left").drop("__dropped_id")
     names = docs.columns
-    schema = StructType([*docs.schema.fields]).add("line_counts", StructType().add("n_lines", "long").add("n_dropped", "long"))
+    schema = StructType([*docs.schema.fields])
+    if counts:
+        counts += "_" * next(n for n in range(len(names) + 1) if (counts + "_" * n).lower() not in map(str.lower, names))
+        schema = schema.add(counts, StructType().add("n_lines", "long").add("n_dropped", "long"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, counts = [], []
+            texts, numbers = [], []
             for text, gone in zip(batch.column("text").to_pylist(), batch.column("__dropped_keys").to_pylist()):
                 lines = (text or "").split("\n")
                 kept = lines
@@ -258,11 +263,10 @@ def cleaned(docs: DataFrame, *, least: int = 10) -> DataFrame:
                     gone = set(gone)
                     kept = [line for line, key in zip(lines, line_keys(text)) if not key or _digest(key) not in gone]
                 texts.append("\n".join(kept))
-                counts.append({"n_lines": len(lines), "n_dropped": len(lines) - len(kept)})
-            columns = {name: batch.column(name) for name in names} | {
-                "text": pa.array(texts, pa.string()),
-                "line_counts": pa.array(counts, pa.struct([("n_lines", pa.int64()), ("n_dropped", pa.int64())])),
-            }
+                numbers.append({"n_lines": len(lines), "n_dropped": len(lines) - len(kept)})
+            columns = {name: batch.column(name) for name in names} | {"text": pa.array(texts, pa.string())}
+            if counts:
+                columns[counts] = pa.array(numbers, pa.struct([("n_lines", pa.int64()), ("n_dropped", pa.int64())]))
             yield pa.record_batch(list(columns.values()), list(columns))
 
     return joined.mapInArrow(cut, schema)

@@ -101,7 +101,8 @@ def mixed(docs: DataFrame, **options) -> Mix:
     documents: doc_id, row_key, source, size, source_size, target, taken (words of the row the mix takes, repeats counted) and
     copies (0 to ``limit``: how often the block with the row's first word is taken, for mixes of whole documents).
     Null texts have size 0 and take nothing, null sources come last, a null doc_id is shuffled like any other value;
-    repeated rows are separate documents. Texts are read once, for their sizes.
+    repeated rows are separate documents. Rows that share an id follow each other by a hash of their text, so the order
+    of the input changes nothing. An empty table gives no documents. Texts are read once, for their sizes, however long.
     """
     limit = options.get("limit", 2)
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
@@ -120,7 +121,7 @@ def mixed(docs: DataFrame, **options) -> Mix:
     sums = placed.groupBy("place", "chunk").agg(F.sum("size").alias("n"))
     before = W.partitionBy("place").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
     sums = sums.select("place", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
-    order = W.partitionBy("place", "chunk").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
+    order = W.partitionBy("place", "chunk").orderBy("key", "doc_id", "size", "row_key").rowsBetween(W.unboundedPreceding, W.currentRow)
     placed = placed.withColumn("upto", F.sum("size").over(order)).join(sums, ["place", "chunk"])
     placed = placed.withColumn("start", F.col("earlier") + F.col("upto") - F.col("size"))
 

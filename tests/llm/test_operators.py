@@ -252,6 +252,28 @@ def test_line_dedup_edge_cases(spark, odd, empty):
     assert {(6, 1), (7, 1), (4, 1), (5, 1), (1, 0), (2, 0)} <= texts  # 4 twice is one document; with 5 two hold "one"
 
 
+def test_line_dedup_keeps_columns_named_like_its_own(spark):
+    import corpus_pipeline
+
+    rows = [(i, "same line\nline %d" % i, i, "x") for i in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, line_counts int, Line_Counts_ string")
+    got = line_dedup.cleaned(frame)
+    assert got.columns == [*frame.columns, "line_counts__"]
+    assert sorted((r.doc_id, r.text, r.line_counts, r.line_counts__.n_dropped) for r in got.collect()) == [(i, f"line {i}", i, 1) for i in range(12)]
+    stage = dict(corpus_pipeline.STAGES)["line_dedup"](spark, frame, None)
+    assert stage.columns == frame.columns and {(r.doc_id, r.text) for r in stage.collect()} == {(i, f"line {i}") for i in range(12)}
+
+
+def test_mixing_of_shared_ids_ignores_the_order(spark):
+    rows = [(7, f"w{i} " * 50, "ab"[i % 2]) for i in range(60)] + [(None, f"v{i} " * 50, "a") for i in range(20)]
+    found = []
+    for step in (1, -1, 7):
+        order = rows[::step] if step != 7 else [rows[i * 7 % len(rows)] for i in range(len(rows) - 1)] + [rows[(len(rows) - 1) * 7 % len(rows)]]
+        frame = spark.createDataFrame(order, "doc_id long, text string, source string").repartition(abs(step))
+        found.append(sorted((r.row_key, r.taken, r.copies) for r in mixing.mixed(frame).documents.collect()))
+    assert found[0] == found[1] == found[2] and sum(x[1] for x in found[0])
+
+
 def test_line_index_is_reversible(spark):
     base = [(i, "\n".join(f"line {j}" for j in range(i % 7))) for i in range(60)]
     more = [(100 + i, "line 5\nline 9\nnew") for i in range(12)]
