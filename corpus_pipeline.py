@@ -22,9 +22,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut the lines that ten documents or more share."""
-    kept = line_dedup.cleaned(docs).drop("line_counts")
-    return _counted(kept, docs)
+    """Cut the lines that ten documents or more share. All columns are kept; null texts become empty. An empty table
+    stays empty."""
+    return _counted(line_dedup.cleaned(docs, counts=None), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
