@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -21,11 +23,14 @@ def in_euros(amount: Column, rate: Column, *, strict: bool = True) -> Column:
 
 
 def numeric_text(amount: Column) -> Column:
-    """Decimal as text without trailing zeros: 12.5, 100, 0.
+    """Decimal of at most nine places as text without trailing zeros: 12.5, 100, 0.
 
-    A plain cast writes small numbers with an exponent unless the session is ANSI; this form never does.
+    A plain cast writes amounts under 1e-6 and zero with an exponent unless the session is ANSI, so only these few go
+    through the slower number format.
     """
-    text = F.replace(F.format_number(amount, 9), F.lit(","), F.lit(""))
+    wide = amount.cast(DecimalType(38, NUMERIC.scale))
+    plain = F.abs(wide) >= F.lit(Decimal("0.000001"))
+    text = F.when(plain, wide.cast("string")).otherwise(F.format_number(wide, NUMERIC.scale))
     return F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from ..sources.schemas import TABLES
-from ..sources.tables import REFRESHERS, Tables
+from ..sources.tables import REFRESHERS, Tables, session_key
 from . import accounts, costs, invoice, statements, workspace
 
 
@@ -70,7 +70,7 @@ def register_views(tables: Tables, as_of: dt.date | None = None, *, stage: Stage
     """Make every view available to ``spark.sql`` under its own name.
 
     The views follow their tables: whatever this library writes (``publish``, ``store_export``, the jobs) rebuilds
-    them, and after a change from outside ``sources.tables.refresh(spark)`` does.
+    them, in all sessions of the application that registered them, and after a change from outside ``sources.tables.refresh(spark)`` does.
     """
 
     def build() -> list[str]:
@@ -83,12 +83,12 @@ def register_views(tables: Tables, as_of: dt.date | None = None, *, stage: Stage
         return list(views)
 
     names = build()
-    REFRESHERS[tables.spark.sparkContext.applicationId] = build
+    REFRESHERS[session_key(tables.spark)] = build
     return names
 
 
 def unregister_views(tables: Tables) -> None:
     """Drop the views and no longer rebuild them."""
-    REFRESHERS.pop(tables.spark.sparkContext.applicationId, None)
+    REFRESHERS.pop(session_key(tables.spark), None)
     for name in VIEWS:
         tables.spark.catalog.dropTempView(name)

@@ -14,6 +14,11 @@ from ..operators.filters import PARTITIONS
 from .schemas import TABLES, export_schema
 
 
+SHEET_OPTIONS = {"header": True, "enforceSchema": True, "quote": '"', "escape": '"', "multiLine": True, "mode": "FAILFAST"}
+#: Tables that users edit as files outside Spark.
+SHEETS = {"ext_workspace_sku_sf"}
+
+
 class Tables:
     """Logical table names mapped to where they are: a catalog table, or a path (anything with a slash).
 
@@ -45,6 +50,8 @@ class Tables:
             return read_export(self.spark, self.location(name), self.money)
         where = self.location(name)
         if "/" not in where:
+            if name in SHEETS:
+                self.spark.catalog.refreshTable(where)
             return declared_columns(self.spark.table(where), schema)
         if where.endswith(".csv"):
             return read_sheet_csv(self.spark, where, schema)
@@ -106,8 +113,18 @@ def read_sheet_csv(spark: SparkSession, path: str, schema: StructType) -> DataFr
     Quotes are doubled within quotes, cells may hold line breaks, a backslash is an ordinary character, and a row with
     too few or too many cells fails the read.
     """
-    options = {"header": True, "enforceSchema": True, "quote": '"', "escape": '"', "multiLine": True, "mode": "FAILFAST"}
-    return spark.read.schema(schema).options(**options).csv(path)
+    return spark.read.schema(schema).options(**SHEET_OPTIONS).csv(path)
+
+
+def attach_sheet(spark: SparkSession, path: str, table: str, schema: StructType) -> None:
+    """Make a spreadsheet exported as CSV an external catalog table with the declared columns, by position.
+
+    Nothing is copied. ``Tables.read`` lists the file anew each time; plain SQL needs ``REFRESH TABLE`` after a change
+    of the file, as for any external table. A table of that name must not exist.
+    """
+    columns = ", ".join(_column(f) for f in schema.fields)
+    options = ", ".join(f"{_quoted(k)} {_quoted(str(v).lower() if v is True else v)}" for k, v in SHEET_OPTIONS.items())
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING csv OPTIONS ({options}) LOCATION {_quoted(path)}")
 
 
 def literal(spark: SparkSession, rows: Sequence[Sequence], schema: StructType) -> DataFrame:
@@ -171,15 +188,20 @@ def publish(
     return spark.table(table)
 
 
-#: What brings registered views up to date, by session; see ``plans.views``.
-REFRESHERS: dict[str, Callable[[], object]] = {}
+#: What brings registered views up to date, by application and session; see ``plans.views``.
+REFRESHERS: dict[tuple[str, str], Callable[[], object]] = {}
+
+
+def session_key(spark: SparkSession) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID()
 
 
 def refresh(spark: SparkSession) -> None:
-    """Rebuild the views registered in this session, after a table has changed."""
-    refresher = REFRESHERS.get(spark.sparkContext.applicationId)
-    if refresher:
-        refresher()
+    """Rebuild the views registered in any session of this application, after a table has changed."""
+    application, _ = session_key(spark)
+    for key, refresher in list(REFRESHERS.items()):
+        if key[0] == application:
+            refresher()
 
 
 def clear_old(spark: SparkSession, table: str) -> int:

@@ -10,6 +10,7 @@ from tallybook.session import fresh_folder, shared_folder
 from tallybook.sources import schemas
 from tallybook.sources.tables import (
     Tables,
+    attach_sheet,
     check_required,
     clear_old,
     empty,
@@ -182,6 +183,29 @@ def test_a_malformed_sheet_fails(spark, root):
         read_sheet_csv(spark, f"{root}/sheet.csv", schemas.WORKSPACE_SKUS).collect()
 
 
+def test_a_sheet_as_catalog_table_is_read_anew(spark, root, name):
+    def write(*lines):
+        with open(f"{root}/sheet.csv", "w") as f:
+            f.write("\n".join(["h1,h2,h3,h4,h5,h6", *lines]) + "\n")
+
+    write("K1,a,b,c,d,\"e\"\"f\"")
+    attach_sheet(spark, f"{root}/sheet.csv", name, schemas.WORKSPACE_SKUS)
+    tables = Tables(spark, {"ext_workspace_sku_sf": name})
+    assert [tuple(r) for r in tables.read("ext_workspace_sku_sf").collect()] == [("K1", "a", "b", "c", "d", 'e"f')]
+    copy = f"{name}_copy"
+    try:
+        jobs.refresh_copy(tables.read("ext_workspace_sku_sf"), copy, root=root)
+        write("K1,a longer text,b,c,d,e", "K2,\"two\nlines\",b,c,d,e")
+        jobs.refresh_copy(tables.read("ext_workspace_sku_sf"), copy, root=root)
+        assert [tuple(r)[:2] for r in values(spark, copy)] == [("K1", "a longer text"), ("K2", "two\nlines")]
+        write("K3,x")
+        with pytest.raises(Exception, match="(?i)malformed"):
+            jobs.refresh_copy(tables.read("ext_workspace_sku_sf"), copy, root=root)
+        assert spark.table(copy).count() == 2
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {copy}")
+
+
 def test_empty_relation_has_the_declared_columns(spark):
     for schema in schemas.TABLES.values():
         df = empty(spark, schema)

@@ -153,6 +153,33 @@ def test_views_follow_their_tables(spark, tmp_path):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def test_views_of_two_sessions_follow_their_tables(spark, tmp_path):
+    """A session that registers its own views doesn't take the other's from the rebuild, in either order."""
+    place = str(tmp_path / "tables")
+    publish(payers(spark, ("P1", "old")), "two_payers", root=place)
+    paths = {n: str(tmp_path / n) for n in schemas.TABLES if n != "payer_billing_accounts"}
+    for name, path in paths.items():
+        frame = export(spark, {"cost": 5}) if name.endswith("export_v1") else spark.createDataFrame([], schemas.TABLES[name])
+        frame.write.parquet(path)
+    sessions = [spark, spark.newSession()]
+    sides = [Tables(s, {**paths, "payer_billing_accounts": "two_payers"}, money=MONEY) for s in sessions]
+    shown = lambda: [[r.account for r in s.sql("SELECT account FROM billing_gcp").collect()] for s in sessions]
+    try:
+        for tables in sides:
+            register_views(tables, AS_OF)
+        assert shown() == [["old"], ["old"]]
+        for s, account in zip(sessions, ("first", "second")):
+            publish(payers(s, ("P1", account)), "two_payers", root=place)
+            assert shown() == [[account], [account]]
+        unregister_views(sides[1])
+        publish(payers(spark, ("P1", "last")), "two_payers", root=place)
+        assert [r.account for r in spark.sql("SELECT account FROM billing_gcp").collect()] == ["last"]
+    finally:
+        for tables in sides:
+            unregister_views(tables)
+        spark.sql("DROP TABLE IF EXISTS two_payers")
+
+
 def test_catalog_export_lists_the_window_only(spark, stored, tmp_path):
     store_export(t.export(spark, SF), str(tmp_path / "export"), table="listed_export")
     try:

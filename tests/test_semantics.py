@@ -337,11 +337,19 @@ def test_numeric_text(spark, value, text):
     assert df.select(numeric_text(numeric(F.col("v")))).first()[0] == text
 
 
-def test_numeric_text_without_ansi(spark):
-    spark.conf.set("spark.sql.ansi.enabled", "false")
+def test_numeric_text_of_any_scale(spark):
+    df = spark.sql("SELECT CAST(1200 AS DECIMAL(10, 0)) a, CAST(-100 AS DECIMAL(38, 9)) b, 50 c, CAST(0.50 AS DECIMAL(4, 2)) d")
+    assert tuple(df.select(*[numeric_text(F.col(c)) for c in "abcd"]).first()) == ("1200", "-100", "50", "0.5")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_numeric_text_with_and_without_ansi(spark, ansi):
+    """Both sides of the smallest amount that a cast writes without an exponent, and the ends of the range."""
+    values = ["0", "0.0000001", "-0.000000999", "0.000001", "-0.000001", "0.000001001", "10", "-123456789012345.123456789", None]
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        df = spark.createDataFrame([("0",), ("0.0000001",), (None,)], "v string")
-        assert [r[0] for r in df.select(numeric_text(numeric(F.col("v")))).collect()] == ["0", "0.0000001", None]
+        df = spark.createDataFrame([(v,) for v in values], "v string")
+        assert [r[0] for r in df.select(numeric_text(numeric(F.col("v")))).collect()] == values
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
 
