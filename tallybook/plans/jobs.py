@@ -85,11 +85,29 @@ def purge_month(
     monthly: Sequence[str] = MONTHLY_STATEMENTS,
     workspace: str | None = WORKSPACE_STATEMENTS,
     root: str | None = None,
+    journal: str | None = None,
 ) -> None:
-    """Delete one month (``YYYY``, ``MM``) from the statement tables, one table after the other."""
+    """Delete one month (``YYYY``, ``MM``) from the statement tables, one table after the other.
+
+    Each purge can be repeated, so an interrupted one ends right when it is run again. With ``journal``, a folder all
+    drivers see, it then goes on with the first table that wasn't finished and doesn't read the others again. Once all
+    are done the month's marks are removed, so a later purge of the month starts afresh.
+    """
     if not (len(year) == 4 and len(month) == 2 and (year + month).isdigit() and "01" <= month <= "12"):
         raise ValueError("give the year as YYYY and the month as MM")
-    for table in monthly:
-        purge(spark, table, {"invoice_month": year + month}, root=root)
+    steps = [(table, {"invoice_month": year + month}) for table in monthly]
     if workspace:
-        purge(spark, workspace, {"Anyo__c": year, "Mes__c": month}, root=root)
+        steps.append((workspace, {"Anyo__c": year, "Mes__c": month}))
+    if journal is None:
+        for table, values in steps:
+            purge(spark, table, values, root=root)
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    marks = path(f"{journal.rstrip('/')}/purge-{year}{month}")
+    store = marks.getFileSystem(spark._jsc.hadoopConfiguration())
+    for table, values in steps:
+        mark = path(marks, table.replace("`", ""))
+        if not store.exists(mark):
+            purge(spark, table, values, root=root)
+            store.create(mark, True).close()
+    store.delete(marks, True)

@@ -100,6 +100,37 @@ def test_purge_by_year_and_month(spark, name, root):
     assert spark.table(name).count() == 4
 
 
+def test_an_interrupted_purge_goes_on_where_it_stopped(spark, name, root, monkeypatch):
+    tables = [f"{name}_{i}" for i in range(3)]
+    rows = spark.createDataFrame([(1, "202501"), (2, "202502")], "amount int, invoice_month string")
+    done, purge = [], jobs.purge
+
+    def run(stop_at=None):
+        def watched(spark, table, values, *, root=None):
+            if table == stop_at:
+                raise RuntimeError("lost")
+            purge(spark, table, values, root=root)
+            done.append(table)
+
+        monkeypatch.setattr(jobs, "purge", watched)
+        jobs.purge_month(spark, "2025", "01", monthly=tables, workspace=None, root=root, journal=f"{root}/journal")
+
+    try:
+        for table in tables:
+            publish(rows, table, root=root)
+        with pytest.raises(RuntimeError, match="lost"):
+            run(stop_at=tables[1])
+        assert [spark.table(t).count() for t in tables] == [1, 2, 2]
+        run()
+        assert done == tables and [values(spark, t) for t in tables] == [[(2, "202502")]] * 3
+        publish(rows, tables[0], root=root)
+        run()
+        assert values(spark, tables[0]) == [(2, "202502")]
+    finally:
+        for table in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def test_text_partitions_stay_text_and_a_purge_removes_their_files(spark, name, root):
     rows = spark.createDataFrame(
         [(1, "2025", "01"), (2, "2025", "02"), (3, "2024", "01"), (4, None, "01")], "amount int, Anyo__c string, Mes__c string"
