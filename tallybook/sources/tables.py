@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
@@ -205,13 +206,19 @@ def refresh(spark: SparkSession) -> None:
 
 
 def clear_old(spark: SparkSession, table: str) -> int:
-    """Remove the table's former folders, which lie beside the present one; returns how many. No reader may use them."""
+    """Remove the table's former folders, which lie beside the present one; returns how many. No reader may use them.
+
+    A folder that isn't complete may belong to a ``publish`` that is still writing: it is spared for a day.
+    """
     present = _location(spark, table)
     path = spark._jvm.org.apache.hadoop.fs.Path(present)
     store = path.getFileSystem(spark._jsc.hadoopConfiguration())
     old = [f.getPath() for f in store.listStatus(path.getParent()) if f.isDirectory() and f.getPath().getName() != path.getName()]
     # only folders that publish() names; anything else beside them is not ours
     old = [p for p in old if len(p.getName()) == 32 and set(p.getName()) <= set("0123456789abcdef")]
+    young = (time.time() - 24 * 3600) * 1000
+    complete = lambda p: store.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
+    old = [p for p in old if complete(p) or store.getFileStatus(p).getModificationTime() < young]
     for one in old:
         store.delete(one, True)
     return len(old)

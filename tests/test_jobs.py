@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import csv
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -173,6 +174,12 @@ def test_permanent_tables_lie_in_the_warehouse_and_old_folders_can_go(spark, nam
     publish(spark.range(3).toDF("x"), name)
     publish(spark.range(4).toDF("x"), name)
     assert clear_old(spark, name) == 2 and clear_old(spark, name) == 0
+    place = [r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r.col_name == "Location"][0]
+    writing = os.path.join(os.path.dirname(place.removeprefix("file:")), "0" * 32)
+    os.makedirs(writing)
+    assert clear_old(spark, name) == 0 and os.path.isdir(writing)
+    os.utime(writing, (0, 0))
+    assert clear_old(spark, name) == 1 and not os.path.isdir(writing)
     assert spark.table(name).count() == 4
 
 
