@@ -159,7 +159,8 @@ def write(pages: DataFrame, folder: str, *, shard_bytes: int = SHARD_BYTES, file
     told = slim.select("page_id", F.lit(0).alias("kind"), "payload_digest", "refers_to", null("string").alias("url"), null("binary").alias("payload"))
     given = pages.select("page_id", F.lit(1).alias("kind"), F.sha2(html.cast("binary"), 256).alias("payload_digest"), null("long").alias("refers_to"), "url", html.cast("binary").alias("payload"))
     dealt = told.union(given).withColumn("shard", shard_of(F.coalesce("page_id", F.lit(-(2**63)))))
-    dealt = dealt.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", "page_id", "payload_digest", "kind", "url")
+    # one shard for each task: by hash of its number some tasks would get several and others none
+    dealt = dealt.repartitionById(len(bounds) + 1, F.col("shard").cast("int")).sortWithinPartitions("shard", "page_id", "payload_digest", "kind", "url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, last, nth, refers = None, (), 0, {}
@@ -235,8 +236,8 @@ def _page(ident: str) -> int | None:
 def read(archive: Archive) -> DataFrame:
     """The records of an archive: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
-    A response's digest and length are taken from its payload, a revisit's from its headers. Each file is one unit
-    of work, read as a stream.
+    A response's digest and length are taken from its payload, a revisit's from its headers. The files of one shard are
+    one unit of work, each read as a stream. An archive without files gives no row.
     """
     folder = archive.folder
 
@@ -261,9 +262,9 @@ def read(archive: Archive) -> DataFrame:
                         rows.append((_page(headers["WARC-Record-ID"]), size, digest, headers["WARC-Type"], _page(refers) if refers else None))
                 yield pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
-    files = archive.manifest.select("name")
-    n = files.count()
-    return files.repartition(max(1, n), "name").mapInArrow(run, COLUMNS)
+    files = archive.manifest.select("name", F.split_part("name", F.lit("-"), F.lit(2)).cast("int").alias("shard"))
+    last = files.agg(F.max("shard")).first()[0]
+    return files.repartitionById(1 if last is None else last + 1, "shard").select("name").mapInArrow(run, COLUMNS)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
