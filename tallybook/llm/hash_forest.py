@@ -139,6 +139,26 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, shard_rows: int = SHARD_R
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, ids, held, forest = None, [], [], None
+        waiting: list[tuple] = []  # queries, until there are enough to fit the forest or the shard ends
+
+        def answered() -> Iterator[pa.RecordBatch]:
+            nonlocal forest, waiting
+            some, waiting = waiting, []
+            if not some or not ids:  # a shard without rows
+                return
+            own, data = (np.concatenate(x) for x in zip(*some))
+            if forest is None:
+                forest = Forest(np.concatenate(held))
+                forest.fit(data[:SAMPLE], min(k + 1, len(forest.vectors)))
+            names = np.concatenate(ids)
+            for i in range(0, len(own), 512):
+                asked, found, scores = [], [], []
+                for q, (hits, products) in zip(own[i : i + 512], forest.search(data[i : i + 512], k + 1)):
+                    asked.append(np.full(len(hits), q))
+                    found.append(names[hits])
+                    scores.append(products)
+                yield pa.record_batch([pa.array(np.concatenate(x)) for x in (asked, found, scores)], ["asked", "class_id", "score"])
+
         for batch in batches:
             shard, kind, own = (batch.column(n).to_numpy() for n in ("shard", "kind", "class_id"))
             width = len(batch.column("embedding").flatten()) // max(1, len(own))
@@ -146,23 +166,16 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, shard_rows: int = SHARD_R
             edges = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (kind[1:] != kind[:-1])]) if len(own) else []
             for a, b in zip(edges, [*edges[1:], len(own)]):
                 if shard[a] != at:
+                    yield from answered()
                     at, ids, held, forest = shard[a], [], [], None
                 if not kind[a]:
                     ids.append(own[a:b])
                     held.append(data[a:b])
                     continue
-                if not ids:  # a shard without rows
-                    continue
-                if forest is None:
-                    names, forest = np.concatenate(ids), Forest(np.concatenate(held))
-                    forest.fit(data[a:b][:SAMPLE], min(k + 1, len(names)))
-                for i in range(a, b, 512):
-                    asked, found, scores = [], [], []
-                    for q, (hits, products) in zip(own[i : min(b, i + 512)], forest.search(data[i : min(b, i + 512)], k + 1)):
-                        asked.append(np.full(len(hits), q))
-                        found.append(names[hits])
-                        scores.append(products)
-                    yield pa.record_batch([pa.array(np.concatenate(x)) for x in (asked, found, scores)], ["asked", "class_id", "score"])
+                waiting.append((own[a:b], data[a:b]))
+                if forest is not None or sum(len(w[0]) for w in waiting) >= SAMPLE:
+                    yield from answered()
+        yield from answered()
 
     hits = dealt.mapInArrow(run, "asked long, class_id long, score double")
     by_score = W.partitionBy("asked").orderBy(F.desc("score"), "class_id")
