@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -147,20 +146,18 @@ def _summed(rows: np.ndarray, groups: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(groups, rows[:, i], n) for i in range(rows.shape[1])], axis=1).astype(np.float32)
 
 
-def fit(texts: list[str | None], labels: list[int], *, spreads: int = 3, sharpens: int = 16, batch: int = 256, rate: float = 0.2) -> Model:
+def fit(texts: list[str | None], labels: list[int], *, spreads: int = 3, windows: int = 12, sharpens: int = 16, batch: int = 256, rate: float = 0.2) -> Model:
     """Train on texts with labels 0 and 1.
 
-    First any windows take their text's label; then, again and again, only each text's most toxic window does, which
+    First random windows, at most ``windows`` of a text each time so that long texts don't outweigh the others, take their
+    text's label; then, again and again, only each text's most toxic window does, which
     finds the toxic places in the texts labelled 1 and the most misleading ones in the others. Without both labels
     the model gives the share of label 1 (0 without texts).
     """
     share = sum(labels) / len(labels) if labels else 0.0
-    counts = Counter(w for t in texts for w in words_of(t))
-    # of the words that stand there once only, which are most, a tenth will do
-    words = sorted(w for w, n in counts.items() if n > 1 or zlib.crc32(w.encode("utf-8", "surrogatepass")) % 10 == 0)
-    known = {w: i for i, w in enumerate(words)}
-    docs = [np.array([known[w] for w in words_of(t) if w in known], np.int64) for t in texts]
-    del counts
+    known: dict[str, int] = {}
+    docs = [np.array([known.setdefault(w, len(known)) for w in words_of(t)], np.int64) for t in texts]
+    words = list(known)
     if not 0 < share < 1 or not known:
         return Model(np.zeros(BUCKETS), float(np.log((share + 1e-6) / (1 - share + 1e-6))))
     trainer, truth = Trainer(words), np.array(labels)
@@ -171,19 +168,19 @@ def fit(texts: list[str | None], labels: list[int], *, spreads: int = 3, sharpen
     def window(i: int, s: int) -> np.ndarray:
         return docs[i][s : s + WINDOW][~again[i][s : s + WINDOW]]
 
-    def epoch(windows: list[np.ndarray], marks: np.ndarray) -> None:
-        order = rng.permutation([j for j, w in enumerate(windows) if len(w)])
+    def epoch(cut: list[np.ndarray], marks: np.ndarray) -> None:
+        order = rng.permutation([j for j, w in enumerate(cut) if len(w)])
         for i in range(0, len(order), batch):
             part = order[i : i + batch]
-            trainer.step([windows[j] for j in part], marks[part], rate, 0.15)
+            trainer.step([cut[j] for j in part], marks[part], rate, 0.15)
 
     for _ in range(spreads):
-        windows, marks = [], []
+        some, marks = [], []
         for i in kept:
-            for s in rng.permutation(window_starts(len(docs[i])))[:12]:
-                windows.append(window(i, s))
+            for s in rng.permutation(window_starts(len(docs[i])))[:windows]:
+                some.append(window(i, s))
                 marks.append(truth[i])
-        epoch(windows, np.array(marks))
+        epoch(some, np.array(marks))
     for _ in range(sharpens):
         model = trainer.model()
         values = trainer.values(model)
@@ -207,21 +204,24 @@ def held_out():
 
 
 def scored(docs: DataFrame, model: Model, room: int = 400_000) -> DataFrame:
-    """doc_id, score of every whole text by ``model``; the memory of word values is emptied at ``room`` words."""
+    """doc_id, score of every whole text by ``model``; the memory of word values is emptied at ``room`` tokens."""
     gram, bias = model.gram, model.bias
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known, values = Model(gram, bias), {}, []
+        own, seen, known, values = Model(gram, bias), {}, {}, []  # seen: tokens as they stand; known: words
         for batch in batches:
-            if len(known) > room:
-                known, values = {}, []
+            if len(seen) > room:
+                seen, known, values = {}, {}, []
             bags = []
             for text in batch.column("text").to_pylist():
-                words = words_of(text)
-                for word in set(words).difference(known):
-                    known[word] = len(values)
-                    values.append(own.word(word))
-                bags.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+                tokens = (text or "").lower().split()
+                for token in set(tokens).difference(seen):
+                    word = token.strip(EDGES)
+                    seen[token] = known.setdefault(word, len(values)) if word else -1
+                    if seen[token] == len(values):
+                        values.append(own.word(word))
+                ids = np.fromiter(map(seen.__getitem__, tokens), np.int64, len(tokens))
+                bags.append(ids[ids >= 0])
             table = np.array(values)
             scores = [own.score(np.where(repeated(ids), 0.0, table[ids])) if len(ids) else own.score(ids) for ids in bags]
             yield pa.record_batch([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
