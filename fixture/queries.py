@@ -270,9 +270,12 @@ def _licence_rows(s: SparkSession, d: str) -> DataFrame:
 
 
 def j_seat_change_exists(s: SparkSession, d: str) -> DataFrame:
-    kept = workspace.commitment_rows(_licence_rows(s, d))
+    # rows of one type and seat share their fate, so they are summed before the join, from one scan for both its sides
+    rows = workspace.licence_rows(t.export(s, d), t.AS_OF)
+    rows = workspace.grouped_once(rows, {"n": F.count(F.lit(1)), "google_charge": F.sum("google_charge")})
+    kept = workspace.commitment_rows(with_workspace_sku(rows, t.workspace_skus(s)))
     return kept.groupBy("invoice_month", "domain_name", "usage_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("google_charge").alias("google_charge")
+        F.sum("n").alias("n"), F.sum("google_charge").alias("google_charge")
     )
 
 

@@ -1,48 +1,39 @@
-"""Licence attributes of many rows: each label array is walked twice, and its text is parsed only when it must be."""
+"""Licence attributes of many rows: each label array is walked once, and its text is parsed only when it must be."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import ATTRIBUTES, attribute, label_name, label_value
+from ..functions.labels import ATTRIBUTES, attribute, label_name
 
 
 def _joined(names: Column, values: Column) -> Column:
     return F.concat(F.array_join(names, ""), F.array_join(values, ""))
 
 
-def may_hold(labels: Column, name: str, wanted: list[str]) -> Column:
-    """True when an attribute has a wanted value, and when quotes or backslashes could make the text say that it has."""
-    return label_value(labels, name).isin(wanted) | _joined(labels["key"], labels["value"]).rlike(r'["\\]')
-
-
 def with_attributes(df: DataFrame, labels: str = "system_labels") -> DataFrame:
     """Replace the label array by ``attributes_json`` and the attributes, as the text and its parser give them.
 
     Names and values become two arrays, which serve the text and all attributes. Where a quote, backslash or control
-    character keeps the text from meaning what the labels say, the attributes are parsed from the text instead.
+    character keeps the text from meaning what the labels say, the attributes are parsed from the text instead; for all
+    other rows the text is built only if it is asked for. The array of one entry that is exploded keeps filters on
+    attributes above this step, where they use the attributes; below it they would compute them once more.
     """
     others = [c for c in df.columns if c != labels]
     quote = F.lit('"')
-    entry = F.zip_with("_names", "_values", lambda n, v: F.concat(quote, n, F.lit('": "'), v, quote))
-    names, values, odd, text = (F.col(c) for c in ("_names", "_values", "_odd", "attributes_json"))
+    names, values, odd = (F.col(f"_parts.{c}") for c in ("names", "values", "odd"))
+    entry = F.zip_with(names, values, lambda n, v: F.concat(quote, n, F.lit('": "'), v, quote))
+    text = F.concat(F.lit("{"), F.coalesce(F.array_join(entry, ", "), F.lit("")), F.lit("}"))
 
     def read(name: str) -> Column:
         place = F.array_position(names, name).cast("int") - 1
         return F.when(odd, attribute(text, name)).otherwise(F.get(values, place))
 
-    kept = df.select(*others, F.filter(labels, lambda kv: kv["value"].isNotNull()).alias("_kept"))
-    parts = kept.select(
-        *others,
-        F.transform("_kept", lambda kv: label_name(kv["key"])).alias("_names"),
-        F.col("_kept.value").alias("_values"),
-    )
-    texts = parts.select(
-        *others,
-        "_names",
-        "_values",
-        F.coalesce(_joined(names, values).rlike(r'["\\\p{Cntrl}]'), F.lit(False)).alias("_odd"),
-        F.concat(F.lit("{"), F.coalesce(F.array_join(entry, ", "), F.lit("")), F.lit("}")).alias("attributes_json"),
-    )
-    return texts.select(*others, "attributes_json", *[read(name).alias(name) for name in ATTRIBUTES])
+    # a label without a value has no name either, so nothing finds it
+    named = F.transform(labels, lambda kv: F.when(kv["value"].isNotNull(), label_name(kv["key"])))
+    parts = df.select(*others, named.alias("_names"), F.col(f"{labels}.value").alias("_values"))
+    unclear = F.coalesce(_joined(F.col("_names"), F.col("_values")).rlike(r'["\\\p{Cntrl}]'), F.lit(False))
+    part = F.struct(F.col("_names").alias("names"), F.col("_values").alias("values"), unclear.alias("odd"))
+    once = parts.select(*others, F.explode(F.array(part)).alias("_parts"))
+    return once.select(*others, text.alias("attributes_json"), *[read(name).alias(name) for name in ATTRIBUTES])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from ..functions.dates import invoice_date
-from ..operators.attributes import may_hold, with_attributes
+from ..operators.attributes import with_attributes
 from ..operators.exact import as_stored, exact, is_floating, is_zero, shown, summed
 from ..operators.filters import rolling_months
 from ..operators.lookups import join_lookup, small_enough, with_workspace_sku
@@ -53,13 +53,12 @@ SEAT_KEYS = ["invoice_month", "domain_name", "sku_id"]
 def licence_rows(export: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """Charged rows of the window that may be licence rows, with their attributes.
 
-    Filters run from cheap to dear: window and cost at the scan, then the usage type out of the label array. The
-    object text is built for the rows that remain, and parsed only where odd characters change its meaning. The users
-    of these rows select by ``usage_type``; a filter on it here would be pushed below and compute the text twice.
+    Filters run from cheap to dear: window and cost at the scan, then the usage type, once the label array has been
+    read. The object text is parsed only where odd characters change its meaning. The users of these rows select by
+    ``usage_type`` themselves, too.
     """
     wanted = [FLEXIBLE, SEAT_CHANGE, *COMMITMENTS]
     rows = rolling_months(export, as_of).filter(F.col("cost") != 0)
-    rows = rows.filter(may_hold(F.col("system_labels"), "usage_type", wanted))
     rows = rows.select(
         "billing_account_id",
         "payer_billing_account_id",
@@ -78,7 +77,7 @@ def licence_rows(export: DataFrame, as_of: dt.date | None = None) -> DataFrame:
         "export_time",
         "system_labels",
     )
-    return with_attributes(rows)
+    return with_attributes(rows).filter(F.col("usage_type").isin(wanted))
 
 
 def written_once(rows: DataFrame) -> DataFrame:
@@ -88,17 +87,27 @@ def written_once(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
-def grouped_once(rows: DataFrame) -> DataFrame:
+def grouped_once(rows: DataFrame, totals: dict[str, Column] | None = None) -> DataFrame:
     """The same rows out of one shuffle that all their uses share, so they are computed once without being written.
 
     Equal rows are counted and unfolded again. All columns are keys, so no value is hot and none is pruned. The columns
-    that uses filter by, or need not null for a join, are taken from an aggregate instead of the key, which is the same:
+    that uses filter by, or need not null for a join, are taken only where the count is positive, which it always is:
     such filters can't be moved below the grouping, so what is below the shuffle is alike in all uses, and adaptive
-    execution runs it once.
+    execution runs it once. Keys and counts alone are grouped by hashing; the smallest text of a group needs a sort.
+
+    With ``totals`` (name and aggregate of columns of ``rows``) those are the columns kept beside ``usage_type`` and
+    the seat keys, one row for each, for uses that add rows up by no more than these.
     """
     asked = ["usage_type", *SEAT_KEYS]
-    keys = rows.withColumnsRenamed({c: f"_{c}" for c in asked})
-    counted = keys.groupBy(*keys.columns).agg(*[F.max(f"_{c}").alias(c) for c in asked], F.count(F.lit(1)).cast("int").alias("_n"))
+    keys = asked if totals else rows.columns
+    renamed = rows.withColumnsRenamed({c: f"_{c}" for c in asked})
+    counts = [F.count(F.lit(1)).cast("int").alias("_n"), *[total.alias(name) for name, total in (totals or {}).items()]]
+    counted = renamed.groupBy(*[f"_{c}" if c in asked else c for c in keys]).agg(*counts)
+    # true of every group, and asks for all aggregates, so that no use leaves one out
+    there = (F.greatest("_n", *[F.col(c).isNotNull().cast("int") for c in totals]) if totals else F.col("_n")) > 0
+    counted = counted.withColumns({c: F.when(there, F.col(f"_{c}")) for c in asked})
+    if totals:
+        return counted.select(*asked, *totals)
     return counted.withColumn("_again", F.explode(F.array_repeat(F.lit(0), F.col("_n")))).select(*rows.columns)
 
 

@@ -210,6 +210,21 @@ def test_rows_out_of_the_shared_shuffle(spark):
     assert sorted(map(tuple, workspace.grouped_once(frame).collect()), key=repr) == sorted(rows, key=repr)
 
 
+def test_seat_changes_and_commitments_share_a_scan(spark):
+    df = queries.single()["j_seat_change_exists"](spark, SF)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert final.count("ReadSchema: struct<l_orderkey") == 1 and "ReusedExchange" in final
+    assert final.count("transform(") == 1  # the labels are read once, above the join
+
+
+def test_shared_shuffle_needs_no_sort(spark):
+    frame = spark.range(9).selectExpr("cast(id AS string) AS usage_type", "id AS n", *[f"'x' AS {k}" for k in workspace.SEAT_KEYS])
+    assert "Sort" not in plan_of(workspace.grouped_once(frame))
+    sums = workspace.grouped_once(frame, {"n": F.sum("n"), "rows": F.count(F.lit(1))})
+    assert "Sort" not in plan_of(sums) and sums.agg(F.sum("n"), F.sum("rows")).first() == (36, 9)
+
+
 def test_order_of_the_invoice_and_the_fees(spark, views):
     months = [r.invoice_month for r in views["reseller_invoice"](spark, SF).collect()]
     assert len(months) > 20 and months == sorted(months, key=lambda m: m or "", reverse=True)
