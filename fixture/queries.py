@@ -285,10 +285,12 @@ def j_old_discount(s: SparkSession, d: str) -> DataFrame:
 
 
 def label_attributes(s: SparkSession, d: str) -> DataFrame:
-    rows = t.export(s, d).select("system_labels", label_value(F.col("system_labels"), "order_id").alias("direct_order_id"))
+    # equal arrays are counted first and read once: the smallest texts need a sort, which then holds no repeats
+    rows = t.export(s, d).groupBy("system_labels").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.select("system_labels", "n", label_value(F.col("system_labels"), "order_id").alias("direct_order_id"))
     rows = with_attributes(rows)
     return rows.groupBy("usage_type", "domain_name", "order_id", "direct_order_id").agg(
-        F.count(F.lit(1)).alias("n"),
+        F.sum("n").alias("n"),
         F.min("attributes_json").alias("first_json"),
         F.max("purchase_order_id").alias("last_purchase_order"),
         F.min("subscription_id").alias("first_subscription"),

@@ -210,6 +210,12 @@ def test_rows_out_of_the_shared_shuffle(spark):
     assert sorted(map(tuple, workspace.grouped_once(frame).collect()), key=repr) == sorted(rows, key=repr)
 
 
+def test_equal_label_arrays_are_read_once(spark):
+    """The smallest texts need a sort; hashing has left one row for each array by then."""
+    plan = plan_of(queries.single()["label_attributes"](spark, SF))
+    assert plan.index("SortAggregate") < plan.index("HashAggregate(keys=[system_labels")
+
+
 def test_seat_changes_and_commitments_share_a_scan(spark):
     df = queries.single()["j_seat_change_exists"](spark, SF)
     df.collect()
