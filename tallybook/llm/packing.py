@@ -9,9 +9,10 @@ packs take a piece. The pieces then find their pattern by their rank among the p
 from __future__ import annotations
 
 import re
+import string
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from unicodedata import is_normalized
 
@@ -29,66 +30,68 @@ SIZE = 2048
 END = 1
 #: What Python's split() takes for white space and the tokenizer doesn't.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
+#: Marks that are one part with each other and none with letters before them; an apostrophe can be the start of one.
+PUNCTUATION = string.punctuation.replace("'", "")
 #: The pieces of a length are ranked in groups of about this many.
 RANKED = 1000
 
 
+class Remembered(dict):
+    """What ``find`` gave for each key; emptied when it holds ``room`` keys."""
+
+    def __init__(self, find: Callable, room: int):
+        super().__init__()
+        self.find, self.room = find, room
+
+    def __missing__(self, key):
+        value = self.find(key)
+        if len(self) >= self.room:
+            self.clear()
+        self[key] = value
+        return value
+
+
 class WordTokens:
     """Token ids of texts, word by word with a memory, for tokenizers whose words end at white space.
 
-    A word of letters, perhaps with a punctuation mark behind, goes to the tokenizer's model alone, through the
-    tokenizer's own normal form of each letter; any other word takes the whole tokenizer. The memory only saves
-    work and is emptied when it holds ``room`` words.
+    A word of letters, perhaps with ASCII punctuation behind, goes to the tokenizer's model alone, through the
+    tokenizer's own normal form of each letter, and the punctuation on its own; any other word takes the whole
+    tokenizer. The memory only saves work and is emptied when it holds ``room`` words.
     """
 
     def __init__(self, path: str, room: int = 400_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
-        self.letters: dict[str, str] = {}
-        self.room = room
+        self.known = Remembered(self._word, room)
+        self.tails = Remembered(self._whole, room)
+        self.letters = Remembered(self._letter, room)
 
-    def _letter(self, letter: str) -> str:
-        """What the model gets for a letter; empty if that isn't one letter's."""
-        normal = self.tokenizer.normalizer.normalize_str(letter)
+    def _letter(self, code: int) -> str:
+        """What the model gets for a letter, by code point; a zero character if that isn't one letter's."""
+        normal = self.tokenizer.normalizer.normalize_str(chr(code))
         parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal) if len(normal) == 1 and normal.isalpha() else []
-        return parts[0][0] if len(parts) == 1 else ""
+        return parts[0][0] if len(parts) == 1 else "\0"
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        if word[-1:] in (".", ",") and word[:-1].isalpha():
-            return self._remembered(word[:-1]) + self._remembered(word[-1])
-        if not word.isalpha() or not (word.isascii() or is_normalized("NFC", word)):
+        bare = word.rstrip(PUNCTUATION)
+        if not bare.isalpha() or not (bare.isascii() or is_normalized("NFC", bare)):
+            return self._whole(word)
+        inner = bare.translate(self.letters)
+        if "\0" in inner:
             return self._whole(word)
-        inner = []
-        for letter in word:
-            if letter not in self.letters:
-                self.letters[letter] = self._letter(letter)
-            if not self.letters[letter]:
-                return self._whole(word)
-            inner.append(self.letters[letter])
-        ids = [token.id for token in self.model.tokenize("".join(inner))]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _remembered(self, word: str) -> bytes:
-        ids = self.known.get(word)
-        if ids is None:
-            if len(self.known) >= self.room:
-                self.known.clear()
-            ids = self.known[word] = self._word(word)
-        return ids
+        ids = [token.id for token in self.model.tokenize(inner)]
+        own = struct.pack(f"<{len(ids)}I", *ids)
+        return own + self.tails[word[len(bare) :]] if len(bare) < len(word) else own
 
     def ids(self, text: str) -> bytes:
         """The ids as unsigned little-endian 32-bit numbers."""
         if ODD_SPACE.search(text):
             return self._whole(text)
         words = (text.lower() if text.isascii() else text).split()
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            return b"".join(map(self._remembered, words))
+        return b"".join(map(self.known.__getitem__, words))
 
 
 def cut(length: int, size: int = SIZE) -> list[int]:

@@ -121,6 +121,26 @@ def test_word_tokens_equal_the_tokenizer(texts):
 TOKENS = packing.WordTokens(packing.public_tokenizers.path("word_bpe_49k.json"), room=50)
 
 
+@pytest.mark.parametrize("text", ["Aİ.", "xİ, y***", "a-b... c$$$ d!!", "it's' x'.", "é.,;", "a<|endoftext|>. <| |>", "e\u0301! \u0338= a\u0338=", "...a.", "Ⅷ. ª, 中文!"])
+def test_words_with_marks_equal_the_tokenizer(text):
+    want = np.array(TOKENS.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert TOKENS.ids(text) == want
+
+
+def test_marks_and_known_words_leave_the_tokenizer_alone(monkeypatch):
+    """The whole tokenizer is asked for each distinct run of marks once, and known words next to new ones for nothing."""
+    tokens = packing.WordTokens(packing.public_tokenizers.path("word_bpe_49k.json"))
+    asked = []
+    for name in ("_whole", "_word"):
+        monkeypatch.setattr(tokens, name, lambda word, own=getattr(tokens, name): (asked.append(word), own(word))[1])
+    tokens.known.find, tokens.tails.find = tokens._word, tokens._whole
+    words = [f"{a}{b}***" for a in "abcdefghij" for b in "klmnopqrst"]
+    tokens.ids(" ".join(words))
+    assert len(asked) == 101 and asked.count("***") == 1
+    tokens.ids(" ".join([*words, "new"]))
+    assert asked[101:] == ["new"]
+
+
 def test_ranks_do_not_depend_on_groups(spark):
     rows = [(i, 0, 5 if i % 3 else 2048, i * 7, 5) for i in range(200)]
     frame = spark.createDataFrame(rows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
