@@ -49,7 +49,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.cleaned(table(spark, sf_dir, "documents"))
-    digest, repeats = F.sha2("kept_bytes", 256).alias("kept_sha256"), (F.col("n_removed") > 0).alias("repeats")
+    digest, repeats = F.sha2("kept_bytes", 256).alias("kept_sha256"), F.col("shares").cast("int").alias("repeats")
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", digest, repeats)
 
 

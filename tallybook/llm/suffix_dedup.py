@@ -1,15 +1,18 @@
 """Removal of repeated passages with suffix arrays built by induced sorting.
 
-Every string of ``length`` bytes belongs to the smallest hash of its 16-byte pieces, its anchor; equal strings have
+Every string of ``length`` bytes belongs to the smallest hash of its 32-byte pieces, its anchor; equal strings have
 equal anchors, so a string can only repeat among the strings of its anchor. The strings of one anchor that follow one
 another in a text form a region. Equal regions are counted before anything else; only anchors with several
 different regions need suffix arrays. Regions are dealt into shards by anchor; a shard's suffix array is induced
 from its sorted leftmost-smaller substrings, and permuted common prefixes of at least ``length`` bytes show the repeats.
+
+Whether a text shares a run of ``words`` words with another one, however few bytes that has, is told from regions of
+words, found in the same way. Where an anchor's regions differ, their runs are counted by their hashes in a shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +20,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.common import stored
+from tallybook.llm.common import SPACE_BYTES, stored
 
 LENGTH = 400
-PIECE = 16
+#: Bytes of a piece, less for short strings. Ordinary wording repeats pieces of 16, and each such anchor costs an array.
+PIECE = 32
+#: Words of a run that marks a text which shares it with another, and of a piece of such a run.
+WORDS, WORDS_PIECE = 51, 8
+#: Bytes of words that are hashed together.
+CHUNK = 1 << 16
+FACTOR, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 #: Bytes of one suffix array, and different regions of one anchor beyond which they are compared string by string
 #: through a shuffle instead (an array of so many would be 16 MB).
 SHARD, MANY = 2 << 20, 20_000
@@ -204,30 +213,35 @@ def _common_prefixes(text: np.ndarray, before: np.ndarray, most: int) -> np.ndar
 # --- anchors and regions ---------------------------------------------------------------------------------------
 
 
-def regions(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, int, int, int, int]]:
-    """(text, start, stop, anchor, hash) of every region: its strings start at start ... stop - length."""
+def regions(texts: Iterable[bytes], length: int = LENGTH, unit: int = 1) -> Iterator[tuple[int, int, int, int, int]]:
+    """(text, start, stop, anchor, hash) of every region: its strings start at start ... stop - length.
+
+    All are counted in units: bytes, or words by their ``word_hashes`` of 8 bytes each (``unit`` 8).
+    """
     batch: list[tuple[int, int, bytes]] = []
     size = 0
     for row, text in enumerate(texts):
-        for base in range(0, max(1, len(text) - length + 1), PART):
-            part = text[base : base + PART + length - 1]
-            if len(part) < length:
+        for base in range(0, max(1, len(text) // unit - length + 1), PART):
+            part = text[base * unit : (base + PART + length - 1) * unit]
+            units = len(part) // unit
+            if units < length:
                 continue
-            if size + len(part) > PART and batch:
-                yield from _regions(batch, length)
+            if size + units > PART and batch:
+                yield from _regions(batch, length, unit)
                 batch, size = [], 0
             batch.append((row, base, part))
-            size += len(part)
+            size += units
     if batch:
-        yield from _regions(batch, length)
+        yield from _regions(batch, length, unit)
 
 
-def _regions(batch: list[tuple[int, int, bytes]], length: int) -> Iterator[tuple[int, int, int, int, int]]:
+def _regions(batch: list[tuple[int, int, bytes]], length: int, unit: int) -> Iterator[tuple[int, int, int, int, int]]:
     whole = b"".join(part for _, _, part in batch)
-    sizes = np.array([len(part) for _, _, part in batch])
+    sizes = np.array([len(part) // unit for _, _, part in batch])
     offsets = np.cumsum(sizes) - sizes
-    hashes = _piece_hashes(np.frombuffer(whole, np.uint8))
-    width = length - PIECE + 1
+    piece = 1 << (min(PIECE if unit == 1 else WORDS_PIECE, max(1, length // 2)).bit_length() - 1)
+    hashes = _piece_hashes(np.frombuffer(whole, np.uint8 if unit == 1 else np.uint64), piece)
+    width = length - piece + 1
     low = np.uint64((1 << LOW) - 1)
     keys = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
     anchors = (_least(keys, width) & low).astype(np.int64)  # of the string at each position
@@ -244,20 +258,56 @@ def _regions(batch: list[tuple[int, int, bytes]], length: int) -> Iterator[tuple
     for w, start, stop, name in zip(which.tolist(), starts.tolist(), (lasts + length).tolist(), names.tolist()):
         row, base, _ = batch[w]
         shift = base - int(offsets[w])
-        yield row, start + shift, stop + shift, name, digest(whole[start:stop]) - (1 << 63)
+        yield row, start + shift, stop + shift, name, digest(whole[start * unit : stop * unit]) - (1 << 63)
 
 
-def _piece_hashes(data: np.ndarray) -> np.ndarray:
-    """Mixed polynomial hash of the ``PIECE`` bytes at each position."""
-    factor = 0x9E3779B97F4A7C15
+def _piece_hashes(data: np.ndarray, piece: int) -> np.ndarray:
+    """Mixed polynomial hash of the ``piece`` bytes or words at each position; ``piece`` is a power of two."""
     out, span = data.astype(np.uint64) + np.uint64(1), 1
-    while span < PIECE:
-        out = out[:-span] * np.uint64(pow(factor, span, 1 << 64)) + out[span:]
+    while span < piece:
+        out = out[:-span] * np.uint64(pow(FACTOR, span, 1 << 64)) + out[span:]
         span *= 2
-    out ^= out >> np.uint64(32)
-    out *= np.uint64(0xD6E8FEB86659FD93)
-    out ^= out >> np.uint64(32)
-    return out
+    return _mixed(out)
+
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    hashes ^= hashes >> np.uint64(32)
+    hashes *= np.uint64(MIX)
+    hashes ^= hashes >> np.uint64(32)
+    return hashes
+
+
+def word_hashes(texts: Iterable[bytes]) -> Iterator[bytes]:
+    """For each text, a hash of 8 bytes for each of its words (parts without ASCII white space).
+
+    A word's hash is a polynomial, taken from running sums over ``CHUNK`` bytes; a word cut in two is put together.
+    """
+    in_word = np.ones(256, bool)
+    in_word[list(SPACE_BYTES)] = False
+    powers, inverses = (np.cumprod(np.r_[np.uint64(1), np.full(CHUNK - 1, f, np.uint64)]) for f in (FACTOR, pow(FACTOR, -1, 1 << 64)))
+    for text in texts:
+        found = []
+        value, length = 0, 0  # of the word that the chunk before ends in
+        for base in range(0, len(text), CHUNK):
+            data = np.frombuffer(text, np.uint8, min(CHUNK, len(text) - base), base)
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
+            inside = np.zeros(len(data) + 2, bool)
+            inside[1:-1] = in_word[data]
+            edges = np.flatnonzero(inside[1:] != inside[:-1])
+            starts, stops = edges[::2], edges[1::2]
+            hashes = (sums[stops] - sums[starts]) * inverses[starts]
+            if length and inside[1]:
+                hashes[0] = (value + pow(FACTOR, length, 1 << 64) * int(hashes[0])) % (1 << 64)
+            elif length:
+                hashes = np.r_[np.uint64(value), hashes]
+            before, length = length, 0
+            if inside[-2] and base + CHUNK < len(text):
+                value, length = int(hashes[-1]), int(stops[-1] - starts[-1])
+                length += before if length == len(data) else 0
+                hashes = hashes[:-1]
+            found.append(hashes)
+        yield _mixed(np.concatenate(found)).tobytes() if found else b""
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -293,24 +343,58 @@ def found_regions(docs: DataFrame, length: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, anchor long, region long, n long")
 
 
-def _region_texts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """anchor, region, many, data of the regions in ``wanted`` (doc_id, anchor, region, many), each from one document."""
-    asked = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "region", "many")).alias("asked")).withColumnRenamed("doc_id", "__id")
-    joined = docs.select("doc_id", "text").join(asked.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(asked["__id"])).select("text", "asked")
+def found_passages(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, row, anchor, region: the different regions of ``words`` words in each text; row is a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             texts = [_bytes(t) for t in batch.column("text").to_pylist()]
-            todo = [{(a["anchor"], a["region"]): a["many"] for a in asked} for asked in batch.column("asked").to_pylist()]
-            rows = []
-            for row, start, stop, anchor, region in regions(texts, length):
-                many = todo[row].pop((anchor, region), None)
-                if many is not None:
-                    rows.append((anchor, region, many, texts[row][start:stop]))
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-            yield pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["anchor", "region", "many", "data"])
+            own = np.array([digest(t) - (1 << 63) for t in texts], np.int64)
+            keys = np.array(list({(row, anchor, region) for row, _, _, anchor, region in regions(word_hashes(texts), words, 8)}), np.int64).reshape(-1, 3)
+            keys = keys[np.argsort(keys[:, 0], kind="stable")]
+            columns = [batch.column("doc_id").take(pa.array(keys[:, 0])), pa.array(own[keys[:, 0]]), pa.array(keys[:, 1]), pa.array(keys[:, 2])]
+            yield pa.record_batch(columns, ["doc_id", "row", "anchor", "region"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, row long, anchor long, region long")
 
-    return joined.mapInArrow(run, "anchor long, region long, many boolean, data binary")
+
+def _region_texts(docs: DataFrame, wanted: DataFrame, length: int, words: int) -> DataFrame:
+    """The regions in ``wanted`` (doc_id, anchor, region, and many, or row and several), each from one document: data, or
+    the hashes of a region's runs of ``words`` words where a row is named."""
+    named = F.struct("anchor", "region", "many", "row", "several")
+    asked = wanted.groupBy("doc_id").agg(F.collect_list(named).alias("asked")).withColumnRenamed("doc_id", "__id")
+    joined = docs.select("doc_id", "text").join(asked.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(asked["__id"])).select("doc_id", "text", "asked")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            texts = [_bytes(t) for t in batch.column("text").to_pylist()]
+            todo: list[dict] = [{} for _ in texts]
+            passages: list[dict] = [{} for _ in texts]
+            for i, asked in enumerate(batch.column("asked").to_pylist()):
+                for a in asked:
+                    (todo if a["row"] is None else passages)[i][a["anchor"], a["region"]] = a
+            rows = []
+            for row, start, stop, anchor, region in regions((t if todo[i] else b"" for i, t in enumerate(texts)), length):
+                a = todo[row].pop((anchor, region), None)
+                if a is not None:
+                    rows.append((row, anchor, region, a["many"], texts[row][start:stop], None, None, None))
+            asking = [i for i, own in enumerate(passages) if own]
+            hashes = list(word_hashes(texts[i] for i in asking))
+            for at, start, stop, anchor, region in regions(hashes, words, 8):
+                a = passages[asking[at]].pop((anchor, region), None)
+                if a is not None:
+                    runs = [digest(hashes[at][8 * i : 8 * (i + words)]) - (1 << 63) for i in range(start, stop - words + 1)]
+                    rows.append((asking[at], anchor, region, None, None, a["row"], a["several"], runs))
+            columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds) if i]
+            yield pa.record_batch([batch.column("doc_id").take(pa.array([r[0] for r in rows], kinds[0])), *columns], names)
+
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.bool_(), pa.list_(pa.int64()))
+    names = ["doc_id", "anchor", "region", "many", "data", "row", "several", "runs"]
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return joined.mapInArrow(run, f"doc_id {kind}, anchor long, region long, many boolean, data binary, row long, several boolean, runs array<long>")
 
 
 def _shards(batches: Iterator[pa.RecordBatch], length: int, size: int) -> Iterator[pa.RecordBatch]:
@@ -366,8 +450,9 @@ def _by_string(texts: DataFrame, length: int) -> DataFrame:
     return strings.join(twice, "string").select("anchor", "region", "first", (F.col("first") + 1).alias("stop"))
 
 
-def repeats(docs: DataFrame, *, length: int = LENGTH, shard: int = SHARD, many: int = MANY) -> DataFrame:
-    """doc_id, marks: for each document with repeats, the runs of repeated strings in its regions.
+def repeats(docs: DataFrame, *, length: int = LENGTH, shard: int = SHARD, many: int = MANY, words: int = WORDS) -> DataFrame:
+    """doc_id, marks, passages: for each document with repeats, the runs of repeated strings in its regions, and the
+    hashes of those of its texts that share ``words`` words in a row with another row.
 
     marks is an array of (anchor, region, first, stop): strings first ... stop - 1 of the region repeat; ``ALL`` as
     first means every one.
@@ -379,34 +464,57 @@ def repeats(docs: DataFrame, *, length: int = LENGTH, shard: int = SHARD, many:
         "suffix-counted",
     )
     alike = counted.where("n > 1").select("anchor", "region", F.lit(ALL).cast("long").alias("first"), F.lit(ALL).cast("long").alias("stop"))
-    wanted = counted.where("different > 1").select("doc_id", "anchor", "region", (F.col("different") > many).alias("many"))
-    texts = stored(_region_texts(docs, wanted, length), "suffix-texts")
-    dealt = texts.where("NOT many").repartition("anchor").sortWithinPartitions("anchor", "region")
+    met = stored(_met(stored(found_passages(docs, words), "suffix-passages")), "suffix-met")
+    held = met.where("mixed").groupBy("anchor", "region").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"), F.min("row").alias("row"))
+    wanted = counted.where("different > 1").select("doc_id", "anchor", "region", (F.col("different") > many).alias("many"), F.lit(None).cast("long").alias("row"), F.lit(None).cast("boolean").alias("several"))
+    wanted = wanted.union(held.select("doc_id", "anchor", "region", F.lit(None).cast("boolean"), "row", F.col("n") > 1))
+    texts = stored(_region_texts(docs, wanted, length, words), "suffix-texts")
+    strings = texts.where("row IS NULL").select("anchor", "region", "many", "data")
+    dealt = strings.where("NOT many").repartition("anchor").sortWithinPartitions("anchor", "region")
     runs = dealt.mapInArrow(lambda batches: _shards(batches, length, shard), "anchor long, region long, first long, stop long")
-    if not texts.where("many").isEmpty():
-        runs = runs.union(_by_string(texts.where("many"), length))
+    if not strings.where("many").isEmpty():
+        runs = runs.union(_by_string(strings.where("many"), length))
     marks = alike.union(runs)
-    return (
-        found.select("doc_id", "anchor", "region").join(marks, ["anchor", "region"])
-        .groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "region", "first", "stop")).alias("marks"))
-    )
+    shared = met.where("NOT mixed").select("doc_id", "row").union(_across(met.where("mixed"), held, texts.where("row IS NOT NULL")))
+    each = found.select("doc_id", "anchor", "region").join(marks, ["anchor", "region"])
+    each = each.select("doc_id", F.struct("anchor", "region", "first", "stop").alias("mark"), F.lit(None).cast("long").alias("row"))
+    each = each.unionByName(shared.distinct(), allowMissingColumns=True)
+    return each.groupBy("doc_id").agg(F.collect_list("mark").alias("marks"), F.collect_list("row").alias("passages"))
+
+
+def _met(found: DataFrame) -> DataFrame:
+    """The regions of words whose anchor stands in another row or another region too; mixed: in different regions."""
+    anchors = found.groupBy("anchor").agg(F.count("*").alias("rows"), F.min("region").alias("least"), F.max("region").alias("most"))
+    return found.join(anchors.where("rows > 1").select("anchor", (F.col("least") != F.col("most")).alias("mixed")), "anchor")
+
+
+def _across(met: DataFrame, held: DataFrame, texts: DataFrame) -> DataFrame:
+    """doc_id, row of the rows that share a whole region, or else one run out of it, with another row."""
+    whole = met.join(held.where("n > 1").select("anchor", "region"), ["anchor", "region"]).select("doc_id", "row")
+    runs = texts.select("doc_id", "row", "several", "anchor", F.explode("runs").alias("run"))
+    twice = runs.groupBy("anchor", "run").agg(F.min("row").alias("least"), F.max("row").alias("most"), F.max("several").alias("several"))
+    twice = twice.where("several OR least != most").select("anchor", "run")
+    return whole.union(runs.where("NOT several").join(twice, ["anchor", "run"]).select("doc_id", "row"))
 
 
 def cleaned(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_bytes and spans (start, stop in bytes) of every row of ``docs``.
+    """doc_id, n_bytes, n_removed, n_spans, kept_bytes, spans (start, stop in bytes) and shares of every row of ``docs``.
 
     Each byte goes that lies in a string of ``length`` bytes (of the text in UTF-8) which starts anywhere else too, in
     this or another document. Null and empty texts have no bytes. Repeated rows are documents of their own, so
     long ones vanish altogether; null doc_ids are treated like one more value. Columns other than doc_id and text
-    are ignored.
+    are ignored. ``shares`` is true if ``words`` words of the text in a row stand in another row's text too, whatever
+    white space parts them and however few bytes they have; a passage that only its own text repeats doesn't count.
     """
     length = options.get("length", LENGTH)
     marked = repeats(docs, **options).withColumnRenamed("doc_id", "__id")
     joined = docs.select("doc_id", "text").join(marked.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(marked["__id"]), "left").drop("__id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             texts = [_bytes(t) for t in batch.column("text").to_pylist()]
+            shares = [bool(own) and digest(t) - (1 << 63) in own for t, own in zip(texts, batch.column("passages").to_pylist())]
             marks: list[dict] = []
             for own in batch.column("marks").to_pylist():
                 marks.append({})
@@ -423,12 +531,12 @@ def cleaned(docs: DataFrame, **options) -> DataFrame:
                 kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
             numbers = [(len(t), sum(b - a for a, b in s), len(s)) for t, s in zip(texts, spans)]
             columns = [batch.column("doc_id"), *(pa.array([x[i] for x in numbers], pa.int64()) for i in range(3))]
-            columns += [pa.array(kept, pa.binary()), pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], span_type)]
-            yield pa.record_batch(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_bytes", "spans"])
+            columns += [pa.array(kept, pa.binary()), pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], span_type), pa.array(shares, pa.bool_())]
+            yield pa.record_batch(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_bytes", "spans", "shares"])
 
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_bytes binary, spans array<struct<start:long,stop:long>>")
+    return joined.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_bytes binary, spans array<struct<start:long,stop:long>>, shares boolean")
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -158,3 +158,13 @@ def suffix_dedup(docs, length=400):
         spans = int(np.sum(np.diff(np.r_[0, gone.astype(np.int8)]) == 1))
         out[doc] = (len(t), int(gone.sum()), spans, sha(kept))
     return out
+
+
+def shared_passages(texts, words):
+    """For each text, whether ``words`` of its words in a row stand in another one too."""
+    runs = []
+    for text in texts:
+        own = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        runs.append({tuple(own[i : i + words]) for i in range(len(own) - words + 1)})
+    count = Counter(run for own in runs for run in own)
+    return [any(count[run] > 1 for run in own) for own in runs]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -328,6 +330,39 @@ def test_suffix_dedup_equals_brute_force(spark, many):
     assert got == brute.suffix_dedup(rows, 24)
 
 
+def test_short_passages_of_many_words_are_told(spark):
+    """51 words of under 400 bytes in two texts, whatever white space parts them; the same words twice in one text only."""
+    passage, own = [f"w{i}x" for i in range(51)], [f"v{i}y" for i in range(51)]
+    texts = ["one " + " ".join(passage) + " two", "three\n" + "\n \t".join(passage) + " four", " ".join(passage[:50]), " ".join(own) + " " + " ".join(own), "", None]
+    got = {r.doc_id: r for r in suffix_dedup.cleaned(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert len(texts[0]) < 400 and [got[i].shares for i in range(6)] == [True, True, False, False, False, False]
+    assert [got[i].n_removed for i in range(6)] == [0] * 6
+
+
+def test_passages_equal_brute_force(spark):
+    rng = np.random.default_rng(7)
+    parts = [list(rng.choice(list("abcdef"), n)) for n in (6, 9, 14, 30)]
+    texts = [" ".join(str(w) for k in rng.integers(0, 9, 3) for w in (parts[k] if k < 4 else rng.choice(["g", "h", "ij", "k\u00e9"], 12))) for _ in range(60)] + ["", None, "a " * 40, "a " * 40]
+    rows = [(i % 50 if i % 7 else None, text) for i, text in enumerate(texts)]  # ids that several rows share, or none
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute.shared_passages(texts, 13)
+    got = suffix_dedup.cleaned(frame, words=13, length=24).collect()
+    assert True in want and False in want
+    seen = [(r.doc_id, (r.n_bytes, r.shares)) for r in got]
+    assert sorted(seen, key=str) == sorted(((i, (len((t or "").encode()), w)) for (i, t), w in zip(rows, want)), key=str)
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 7, 1 << 16])
+def test_words_are_hashed_alike_wherever_they_stand(monkeypatch, chunk):
+    monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
+    texts = [b"", b" \n", b"ab", b"  ab cde\tab\x0b", "caf\u00e9 ab abc cde".encode(), b"c a\x00 a " + b"long" * 9]
+    names: dict[int, bytes] = {}
+    for text, hashes in zip(texts, suffix_dedup.word_hashes(texts)):
+        found, words = np.frombuffer(hashes, np.uint64).tolist(), re.findall(rb"[^ \t-\r]+", text)
+        assert len(found) == len(words) and all(names.setdefault(h, w) == w for h, w in zip(found, words))
+    assert len(names) == len(set(names.values())) == 8
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(1, 4), max_size=80), st.integers(1, 9))
 def test_suffix_array(numbers, length):

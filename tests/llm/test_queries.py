@@ -114,6 +114,12 @@ def test_op9_equals_brute_force(spark, docs):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, brute.sha(bytes(r.kept_bytes))) for r in other.collect()} == want
 
 
+def test_op9_tells_passages_of_over_fifty_words(spark, docs):
+    want = brute.shared_passages([text for _, text in docs], 51)
+    assert {r["doc_id"]: r["repeats"] for r in rows(spark, "op9_suffix_dedup")} == {doc: int(w) for (doc, _), w in zip(docs, want)}
+    assert 0 < sum(want) < len(want)
+
+
 def test_op10_equals_brute_force(spark, docs):
     got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in rows(spark, "op10_simhash")}
     assert got == brute.simhash_groups(docs)
